@@ -40,7 +40,7 @@ class Config:
     out_dir: str | None = None
     run_id: str = "manual"
     lookback_ms: int = LOOKBACK_MS
-    hot_rows: int | None = HOT_ROWS
+    hot_rows: int = HOT_ROWS
 
     def is_enabled(self, name: str) -> bool:
         return self.enabled.get(name, True)

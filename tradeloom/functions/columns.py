@@ -21,9 +21,6 @@ COUNTRY = {
 # The cast names of nested fields and their Spark types.
 LEAF_TYPES = {"string": "string", "integer": "bigint", "numeric": "decimal(38,9)"}
 
-_ZONED = r"(Z|[+-]\d{2}:?\d{2})$"
-
-
 def _to_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -51,10 +48,13 @@ def as_utc(col: Column | str, dtype: str = "timestamp_ntz") -> Column:
     if dtype == "timestamp":
         return _from_epoch("MICROSECOND", F.unix_micros(col))
     if dtype == "string":
-        instant = F.when(col.rlike(_ZONED), col).cast("timestamp")
-        return F.when(
-            instant.isNotNull(), _from_epoch("MICROSECOND", F.unix_micros(instant))
-        ).otherwise(F.when(~col.rlike(_ZONED), col).cast("timestamp_ntz"))
+        # A sign after the date part, or a final Z, can only be a zone.
+        tail = F.substring(col, 11, 64)
+        zoned = tail.endswith("Z") | tail.contains("+") | tail.contains("-")
+        instant = F.unix_micros(col.cast("timestamp"))
+        return F.when(zoned, _from_epoch("MICROSECOND", instant)).otherwise(
+            col.cast("timestamp_ntz")
+        )
     return col.cast("timestamp_ntz")
 
 

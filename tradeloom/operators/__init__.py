@@ -10,12 +10,13 @@ from tradeloom.operators.incremental import max_loaded, since
 from tradeloom.operators.latest import keep_latest
 from tradeloom.operators.merge import duplicate_matches, merge_upsert
 from tradeloom.operators.nested import star_except, unnest, unnest_json
-from tradeloom.operators.sequence import number_rows
+from tradeloom.operators.sequence import has_hot_group, number_rows
 from tradeloom.operators.sink import merge_into, read_target, target_exists, write_full
 
 __all__ = [
     "Rates",
     "duplicate_matches",
+    "has_hot_group",
     "keep_latest",
     "max_loaded",
     "merge_into",

@@ -21,25 +21,40 @@ def number_rows(
     keys: Sequence[Column | str],
     order: Sequence[str],
     out: str = SEQ_ID,
-    hot_rows: int | None = HOT_ROWS,
-    sized_by: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Add ``row_number`` per key; ``"-x"`` in ``order`` sorts ``x`` descending.
 
     Ascending columns put NULL first, descending ones last. A key with more
     than ``hot_rows`` rows is split into ranges of its sort order, each range
     is numbered in its own task, and the counts of the ranges before it are
-    added. ``sized_by`` may name a cheaper frame whose groups are at least as
-    large; ``hot_rows=None`` skips the size check.
+    added. ``split`` says whether such keys exist; ``None`` looks.
     """
-    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
+    keys = _cols(keys)
     terms = [(o.lstrip("-"), o.startswith("-")) for o in order]
-    if hot_rows is not None and _has_hot(sized_by if sized_by is not None else df, keys, hot_rows):
+    if split is None:
+        split = has_hot_group(df, keys, hot_rows)
+    if split:
         return _number_in_ranges(df, keys, terms, out, hot_rows)
     window = Window.partitionBy(*keys).orderBy(*_sort(terms))
     return df.withColumn(out, F.row_number().over(window).cast("bigint"))
 
 
+def has_hot_group(df: DataFrame, keys: Sequence[Column | str], hot_rows: int) -> bool:
+    """Whether any key has more than ``hot_rows`` rows.
+
+    Reads only the key columns; the counts are combined before the shuffle.
+    """
+    keys = _cols(keys)
+    names = [f"_hot_key{i}" for i in range(len(keys))]
+    return not _sizes(df, keys, names).where(F.col("_size") > hot_rows).isEmpty()
+
+
+def _cols(items: Sequence[Column | str]) -> list[Column]:
+    return [F.col(i) if isinstance(i, str) else i for i in items]
+
+
 def _sort(terms: Sequence[tuple[str, bool]]) -> list[Column]:
     return [
         F.col(name).desc_nulls_last() if desc else F.col(name).asc_nulls_first()
@@ -53,11 +68,6 @@ def _sizes(df: DataFrame, keys: Sequence[Column], names: Sequence[str]) -> DataF
     )
 
 
-def _has_hot(df: DataFrame, keys: Sequence[Column], hot_rows: int) -> bool:
-    names = [f"_hot_key{i}" for i in range(len(keys))]
-    return not _sizes(df, keys, names).where(F.col("_size") > hot_rows).isEmpty()
-
-
 def _same(keys: Sequence[Column], names: Sequence[str]) -> Column:
     return reduce(
         lambda a, b: a & b, [k.eqNullSafe(F.col(n)) for k, n in zip(keys, names)]

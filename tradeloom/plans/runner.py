@@ -27,7 +27,7 @@ from tradeloom.operators.fx import Rates, with_exchange_rate
 from tradeloom.operators.incremental import max_loaded
 from tradeloom.operators.latest import keep_latest
 from tradeloom.operators.nested import unnest
-from tradeloom.operators.sequence import number_rows
+from tradeloom.operators.sequence import has_hot_group, number_rows
 from tradeloom.operators.sink import merge_into, read_target, target_exists, write_full
 from tradeloom.session import stage
 from tradeloom.sources import RawSource, stamp
@@ -47,7 +47,10 @@ def _carried(name: str) -> str:
     return "_key_" + name.replace(".", "_") if "." in name else name
 
 
-def _project(col: Col, shift: bool) -> Column:
+def _project(col: Col, shift: bool) -> Column | str:
+    moved = shift and col.kind in ("stamp", "leaf_stamp")
+    if col.kind in ("plain", "stamp") and not moved and col.default is None:
+        return col.name
     value = F.col(col.path)
     if col.kind == "date":
         value = day_of(value)
@@ -55,7 +58,7 @@ def _project(col: Col, shift: bool) -> Column:
         value = cast_leaf(value, col.dtype)
     elif col.kind == "leaf_stamp":
         value = as_utc(value, "string")
-    if shift and col.kind in ("stamp", "leaf_stamp"):
+    if moved:
         value = shift_hours(value, F.col(OFFSET))
     if col.default is not None:
         value = default_key(value, col.default)
@@ -104,31 +107,55 @@ def _final_stage(feed: Feed) -> tuple[Latest, ...]:
     ) + (last,)
 
 
-def _deduplicate(df: DataFrame, feed: Feed) -> DataFrame:
+def _group(keys: Sequence[str], per_source: bool) -> list[Column]:
+    # The source number goes last, so that sorts compare telling keys first.
+    return [_key(k) for k in keys] + ([F.col(SOURCE_NO)] if per_source else [])
+
+
+def _deduplicate(df: DataFrame, feed: Feed, hot: bool) -> DataFrame:
     for step in _final_stage(feed):
-        # The source number goes last, so that sorts compare telling keys first.
-        keys = [_key(k) for k in step.keys] + [F.col(SOURCE_NO)]
         order = list(step.order)
         if step.ties == "one":
             order += [c for c in (BATCH_RUNTIME, BATCH_ID) if c not in order]
         used = {*order, *step.keys, *LINEAGE}
         ties = [c.name for c in feed.columns if c.name not in used]
-        df = keep_latest(df, keys, order, step.ties, ties)
+        df = keep_latest(df, _group(step.keys, True), order, step.ties, ties, hot)
     return df
 
 
-def _number(df: DataFrame, before: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
+def _number(df: DataFrame, feed: Feed, cfg: Config, hot: bool) -> DataFrame:
     seq = feed.sequence
     last = feed.latest[-1]
     if seq.per_source and last.ties == "one" and set(last.keys) <= set(seq.keys):
         return df.withColumn(SEQ_ID, F.lit(1).cast("bigint"))  # one row per key is left
-    keys = [_key(k) for k in seq.keys] + ([F.col(SOURCE_NO)] if seq.per_source else [])
     named = {o.lstrip("-") for o in seq.order}
     rest = [c.name for c in feed.columns if c.name not in {*named, *seq.keys}]
-    order = [*seq.order, *rest, BATCH_RUNTIME, BATCH_ID, SOURCE_NO]
-    # One row per key and market is left here, so groups cannot grow hot.
-    hot = None if last.ties == "one" else cfg.hot_rows
-    return number_rows(df, keys, list(dict.fromkeys(order)), hot_rows=hot, sized_by=before)
+    order = list(dict.fromkeys([*seq.order, *rest, BATCH_RUNTIME, BATCH_ID, SOURCE_NO]))
+    order = [o for o in order if "-" + o not in order]
+    return number_rows(
+        df, _group(seq.keys, seq.per_source), order, hot_rows=cfg.hot_rows, split=hot
+    )
+
+
+def _distinct_rows(rows: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
+    """Keep-latest and sequence numbers.
+
+    Keep-latest with ties and the numbering put whole groups into one task, so
+    the largest group is measured first, on the key columns alone. Without a
+    hot group one shuffle on the shorter key serves both windows.
+    """
+    seq = feed.sequence
+    if feed.latest[-1].ties == "one":
+        # One row per key is left; a numbered group holds one per marketplace.
+        result = _deduplicate(rows, feed, hot=False)
+        return _number(result, feed, cfg, hot=False) if seq else result
+    per_source = seq is None or seq.per_source
+    group = _group(seq.keys if seq else feed.latest[-1].keys, per_source)
+    hot = has_hot_group(rows, group, cfg.hot_rows)
+    if seq and not hot:
+        rows = rows.repartition(*group)
+    result = _deduplicate(rows, feed, hot)
+    return _number(result, feed, cfg, hot) if seq else result
 
 
 def build(
@@ -149,9 +176,7 @@ def build(
     schema = T.StructType.fromDDL(feed.raw_ddl)
     raw = tagged_scan(spark, sources, schema, cfg, feed.tz_aware, loaded, prefix)
     rows = project(raw, feed, cfg)
-    result = _deduplicate(rows, feed)
-    if feed.sequence:
-        result = _number(result, rows, feed, cfg)
+    result = _distinct_rows(rows, feed, cfg)
     if feed.fx:
         if isinstance(rates, DataFrame) and cfg.convert_currency:
             rates = Rates.measure(rates)

@@ -58,16 +58,22 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     Timestamps become UTC wall clock, JSON text is decoded to the nested
     type, every other type passes through. A missing column is an error.
     """
-    have = {f.name.lower(): f.dataType for f in df.schema.fields}
+    have = {f.name.lower(): f for f in df.schema.fields}
     out = []
     for field in schema.fields:
-        col = F.col(field.name)
-        actual = have.get(field.name.lower())
+        stored = have.get(field.name.lower())
+        actual = stored.dataType if stored else None
         if isinstance(actual, T.StringType) and isinstance(field.dataType, T.ArrayType):
-            col = F.from_json(col, field.dataType)
-        elif isinstance(field.dataType, T.TimestampNTZType) and actual is not None:
-            col = as_utc(col, actual.simpleString())
-        out.append(col.alias(field.name))
+            out.append(F.from_json(field.name, field.dataType).alias(field.name))
+        elif isinstance(field.dataType, T.TimestampNTZType) and actual not in (
+            None,
+            field.dataType,
+        ):
+            out.append(as_utc(field.name, actual.simpleString()).alias(field.name))
+        elif stored and stored.name != field.name:
+            out.append(F.col(field.name).alias(field.name))
+        else:
+            out.append(field.name)
     return df.select(*out)
 
 
