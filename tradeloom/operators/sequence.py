@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,9 +10,8 @@ from pyspark.sql import functions as F
 from tradeloom.config import HOT_ROWS, SEQ_ID
 from tradeloom.session import stage
 
-# Sampled rows per split range; more give more even ranges.
-_SAMPLES = 64
 _ROW = "_row_no"
+_RANGE = "_range"
 
 
 def number_rows(
@@ -68,36 +66,6 @@ def _sizes(df: DataFrame, keys: Sequence[Column], names: Sequence[str]) -> DataF
     )
 
 
-def _same(keys: Sequence[Column], names: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [k.eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
-    )
-
-
-def _at_or_after(terms: Sequence[tuple[str, bool]], split: Column) -> Column:
-    """True where the row sorts at or after the split point."""
-    result = F.lit(True)
-    for name, desc in reversed(terms):
-        row, edge = F.col(name), split[name]
-        if desc:  # NULL last
-            result = (
-                F.when(row.isNull() & edge.isNull(), result)
-                .when(row.isNull(), True)
-                .when(edge.isNull(), False)
-                .when(row == edge, result)
-                .otherwise(row < edge)
-            )
-        else:  # NULL first
-            result = (
-                F.when(row.isNull() & edge.isNull(), result)
-                .when(edge.isNull(), True)
-                .when(row.isNull(), False)
-                .when(row == edge, result)
-                .otherwise(row > edge)
-            )
-    return result
-
-
 def _number_in_ranges(
     df: DataFrame,
     keys: Sequence[Column],
@@ -105,51 +73,36 @@ def _number_in_ranges(
     out: str,
     hot_rows: int,
 ) -> DataFrame:
-    # The written row number makes the order total, so that even equal rows
-    # can fall into different ranges, and stays the same when a task is re-run.
-    df = stage(df.withColumn(_ROW, F.monotonically_increasing_id()), "sequence")
-    terms = [*terms, (_ROW, False)]
-    names = [f"_hot_key{i}" for i in range(len(keys))]
-
-    # At most rows / hot_rows keys pass, which bounds every broadcast below.
-    hot = _sizes(df, keys, names).where(F.col("_size") > hot_rows)
-
-    # A sample of each hot key only places the split points; the numbers
-    # below are exact wherever the points fall.
-    step = max(hot_rows // _SAMPLES, 1)
-    sample = df.where(F.pmod(F.xxhash64(_ROW), F.lit(step)) == 0).join(
-        F.broadcast(hot), _same(keys, names), "inner"
-    )
-    nth = F.row_number().over(Window.partitionBy(*names).orderBy(*_sort(terms)))
-    splits = (
-        sample.withColumn("_nth", nth)
-        .where(F.col("_nth") % _SAMPLES == 0)
-        .groupBy(*names)
-        .agg(F.collect_list(F.struct(*[t for t, _ in terms])).alias("_splits"))
+    # The row number makes the order total, so that even equal rows can fall
+    # into different ranges. Both numbers are written before they are used:
+    # a re-run task cannot change them.
+    rows = stage(df.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
+    order = _sort([*terms, (_ROW, False)])
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(rows.count() // hot_rows + 1, partitions)
+    ranged = stage(
+        rows.repartitionByRange(ranges, *keys, *order).withColumn(_RANGE, F.spark_partition_id()),
+        "ranges",
     )
 
-    passed = F.size(F.filter("_splits", lambda s: _at_or_after(terms, s)))
-    ranged = (
-        df.join(F.broadcast(splits), _same(keys, names), "left")
-        .withColumn("_range", F.when(F.col("_splits").isNull(), 0).otherwise(passed))
-        .drop(*names, "_splits")
-    )
-    own = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*_sort(terms)))
-    before = Window.partitionBy(*names).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    # Where a key goes on from an earlier range: at most one key per range
+    # does, so this table has fewer rows than there are ranges.
+    names = [f"_hot_key{i}" for i in range(len(keys))]
+    earlier = Window.partitionBy(*names).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        ranged.join(F.broadcast(hot), _same(keys, names), "left_semi")
-        .groupBy(*[k.alias(n) for k, n in zip(keys, names)], F.col("_range").alias("_at"))
+        ranged.groupBy(*[k.alias(n) for k, n in zip(keys, names)], F.col(_RANGE).alias("_at"))
         .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        .withColumn("_start", F.sum("_size").over(earlier))
+        .where(F.col("_start") > 0)
         .drop("_size")
     )
+    own = F.row_number().over(Window.partitionBy(*keys, _RANGE).orderBy(*order))
+    same = F.col(_RANGE) == F.col("_at")
+    for key, name in zip(keys, names):
+        same = same & key.eqNullSafe(F.col(name))
     return (
         ranged.withColumn(out, own.cast("bigint"))
-        .join(
-            F.broadcast(starts),
-            _same(keys, names) & (F.col("_range") == F.col("_at")),
-            "left",
-        )
+        .join(F.broadcast(starts), same, "left")
         .withColumn(out, F.col(out) + F.coalesce(F.col("_start"), F.lit(0)))
-        .drop(_ROW, "_range", "_at", "_start", *names)
+        .drop(_ROW, _RANGE, "_at", "_start", *names)
     )

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tradeloom.operators.latest import keep_latest
 from tradeloom.operators.merge import duplicate_matches, merge_upsert, repeated_keys
+from tradeloom.session import delete_path
 
 DAY = "_day"
 _SNAPSHOT = "snapshot="
@@ -102,10 +103,8 @@ def write_full(
 def prune_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
     """Delete all but the newest ``keep`` snapshots and return their numbers."""
     old = _snapshots(spark, path)[: -max(keep, 1)]
-    jvm = spark.sparkContext._jvm
     for number in old:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{_SNAPSHOT}{number}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_path(spark, f"{path}/{_SNAPSHOT}{number}")
     return old
 
 

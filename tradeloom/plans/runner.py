@@ -29,7 +29,7 @@ from tradeloom.operators.latest import keep_latest
 from tradeloom.operators.nested import unnest
 from tradeloom.operators.sequence import has_hot_group, number_rows
 from tradeloom.operators.sink import merge_into, read_target, target_exists, write_full
-from tradeloom.session import stage
+from tradeloom.session import delete_path, scratch_path, stage
 from tradeloom.sources import RawSource, stamp
 from tradeloom.sources.raw import OFFSET, SOURCE_NO, tagged_scan
 
@@ -208,7 +208,8 @@ def run_feed(
     clock = read_target(spark, target, T.StructType.fromDDL(LINEAGE_DDL))
     loaded = max_loaded(clock, cfg.lookback_ms)
     # Written once: the merge reads it for days, repeated keys and rows.
-    rows = stage(build(spark, feed, sources, cfg, rates, loaded, prefix), feed.name)
+    scratch = scratch_path(spark, feed.name)
+    rows = stage(build(spark, feed, sources, cfg, rates, loaded, prefix), feed.name, scratch)
     merge_into(
         target,
         rows,
@@ -219,6 +220,7 @@ def run_feed(
         on_duplicate,
         latest_by=(BATCH_RUNTIME, BATCH_ID),
     )
+    delete_path(spark, scratch)
 
 
 def run_all(

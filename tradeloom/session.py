@@ -47,13 +47,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def delete_path(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(folder, True)
+
+
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     Cuts the lineage, survives lost executors, and gives later joins the real
-    size of the data.
+    size of the data. The files stay, like checkpoint files, until the owner
+    of the folder removes them or the caller deletes ``path``.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
