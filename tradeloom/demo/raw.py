@@ -189,7 +189,7 @@ def event_rows(events: str, items: str, kind: str, amount: str) -> str:
                 _given(line, "'M' || " + text("o_custkey % 3")) + f" AS {events}_MarketplaceName",
                 _given("it.i", holes(text("l_partkey") + " || '-' || " + text("it.i"),
                                      "l_partkey", 10)) + f" AS {items}_SellerSKU",
-                _given("it.i", _QUANTITY) + f" AS {items}_QuantityShipped",
+                _given("it.i", "CAST(l_quantity AS BIGINT)") + f" AS {items}_QuantityShipped",
                 _given("en.e", f"CASE WHEN l_partkey % 7 = 0 AND en.e = 1 THEN NULL"
                                f" ELSE 'T' || {text('en.e')} END") + f" AS {kind}",
                 f"CASE WHEN en.e IS NULL OR (l_suppkey + en.e) % 6 = 0 THEN NULL"
@@ -350,9 +350,8 @@ def _raw_events(spark: SparkSession, sf_dir: str, item: Feed) -> DataFrame:
         sf_dir,
         f"SELECT *, {CURRENCY} AS ccy, {holes(text('o_orderkey'), 'o_orderkey', 50)} AS oid,"
         " o_orderdate + CAST(o_orderkey % 24 AS INT) * INTERVAL '1' HOUR AS posted,"
-        f" {_QUANTITY} AS qty, {lineage('o_orderkey')}"
-        " FROM {orders} LEFT JOIN {lineitem} ON l_orderkey = o_orderkey"
-        f" JOIN {BATCHES} ON b.k = o_orderkey % 3",
+        " CAST(l_quantity AS BIGINT) AS qty"
+        " FROM {orders} LEFT JOIN {lineitem} ON l_orderkey = o_orderkey",
     )
     c = F.col
     # The last three of the un-nest chain: entry, amount and what is above.
@@ -394,7 +393,14 @@ def _raw_events(spark: SparkSession, sf_dir: str, item: Feed) -> DataFrame:
         F.concat(F.lit("M"), _str(c("o_custkey") % 3)).alias("MarketplaceName"),
         _array(c("l_linenumber") % 4, _ITEMS, line_item).alias(items),
     )
-    return base.withColumn(events, F.when(c("l_orderkey").isNotNull(), F.array(event)))
+    nested = base.select(
+        "o_orderkey", F.when(c("l_orderkey").isNotNull(), F.array(event)).alias(events)
+    )
+    return spark.sql(
+        f"SELECT nested.*, {lineage('o_orderkey')} FROM {{nested}} AS nested"
+        f" JOIN {BATCHES} ON b.k = o_orderkey % 3",
+        nested=nested,
+    )
 
 
 def _raw_services(spark: SparkSession, sf_dir: str) -> DataFrame:
