@@ -66,24 +66,36 @@ def _project(col: Col, shift: bool) -> Column | str:
 
 
 def project(raw: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
-    """Filter, un-nest and project the raw rows of all sources."""
+    """Filter, un-nest and project the raw rows of all sources.
+
+    A nested field is read and cast right after its own level is un-nested,
+    before deeper levels multiply the rows.
+    """
     for column, value in feed.where_not:
         raw = raw.where(F.col(column) != F.lit(value))
     if feed.fx and feed.fx.raw:
         raw = raw.withColumn(_FX_DAY, day_of(feed.fx.date))
+    shift = feed.tz_aware and cfg.convert_timezone and bool(cfg.offset_hours)
+    dotted = [k for step in feed.latest for k in step.keys if "." in k]
+    done = set()
     for path in feed.unnest:
         raw = unnest(raw, path)
-    shift = feed.tz_aware and cfg.convert_timezone and bool(cfg.offset_hours)
-    carried = [F.col(_FX_DAY)] if feed.fx and feed.fx.raw else []
-    for step in feed.latest:
-        carried += [F.col(k).alias(_carried(k)) for k in step.keys if "." in k]
+        level = path.rsplit(".", 1)[-1] + "."
+        mine = [c for c in feed.columns if "leaf" in c.kind and c.path.startswith(level)]
+        read = {c.name: _project(c, shift) for c in mine}
+        read |= {_carried(k): F.col(k) for k in dotted if k.startswith(level)}
+        if read:
+            raw = raw.withColumns(read)
+        done |= {c.name for c in mine}
+    carried = [_FX_DAY] if feed.fx and feed.fx.raw else []
     return raw.select(
         "brand",
         "store",
-        *[_project(c, shift) for c in feed.columns],
+        *[c.name if c.name in done else _project(c, shift) for c in feed.columns],
         *LINEAGE,
         SOURCE_NO,
         *carried,
+        *[_carried(k) for k in dotted],
     )
 
 
