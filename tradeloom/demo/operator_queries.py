@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tradeloom import functions as fn
 from tradeloom import operators as ops
-from tradeloom.config import BATCH_ID, BATCH_RUNTIME, LINEAGE, Check, Config
+from tradeloom.config import BATCH_ID, BATCH_RUNTIME, Check, Config
 from tradeloom.demo import raw
 from tradeloom.demo.feed_queries import comparable
 from tradeloom.operators.incremental import watermark
@@ -917,5 +917,3 @@ def dq_suite(spark, sf_dir):
     ]
     return ops.run_checks(raw.table(spark, sf_dir, "orders"), checks, as_of="2001-08-20 00:00:00")
 
-
-__all__ = ["LINEAGE", "QUERIES", "SQL"]

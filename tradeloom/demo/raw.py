@@ -332,7 +332,7 @@ def _str(col: Column) -> Column:
 
 
 def _zulu(col: Column) -> Column:
-    return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.concat(F.translate(_str(col), " ", "T"), F.lit("Z"))
 
 
 def _money(present: Column, code: Column, amount: Column, amount_name: str) -> Column:

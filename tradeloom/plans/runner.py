@@ -12,10 +12,8 @@ from pyspark.sql import types as T
 from tradeloom.config import (
     BATCH_ID,
     BATCH_RUNTIME,
-    LAST_UPDATED,
     LINEAGE,
     LINEAGE_DDL,
-    RUN_ID,
     SEQ_ID,
     Col,
     Config,
@@ -23,6 +21,7 @@ from tradeloom.config import (
     Latest,
 )
 from tradeloom.functions import as_utc, cast_leaf, day_of, default_key, shift_hours
+from tradeloom.operators.checks import run_checks
 from tradeloom.operators.fx import Rates, with_exchange_rate
 from tradeloom.operators.incremental import max_loaded
 from tradeloom.operators.latest import keep_latest
@@ -258,4 +257,13 @@ def run_all(
     return done
 
 
-__all__ = ["LAST_UPDATED", "RUN_ID", "build", "project", "run_all", "run_feed"]
+def check_feed(
+    spark: SparkSession,
+    feed: Feed,
+    target: str,
+    cfg: Config | None = None,
+    as_of: str | None = None,
+) -> DataFrame:
+    """Report of the feed's declared checks on its staged table."""
+    zone = (cfg or Config()).recency_timezone
+    return run_checks(read_target(spark, target), feed, as_of, zone)
