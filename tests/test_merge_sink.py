@@ -110,3 +110,23 @@ def test_full_write_replaces_and_clusters(spark, tmp_path):
         .collect()
     )
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_hot_day_is_split_into_sorted_files(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    df = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id",
+        "pmod(hash(id), 1000) AS c",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(if(id % 3 < 2, 0, id % 20)) AS at",
+    )
+    conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(conf, "100k")
+    try:
+        write_full(df, path, partition_by="at", cluster_by=["c"])
+    finally:
+        spark.conf.unset(conf)
+    assert len([f for f in files(path) if "_day=2024-01-01" in f]) > 2
+    for name in list(files(path))[:5]:
+        values = [r.c for r in spark.read.parquet(name).coalesce(1).select("c").collect()]
+        assert values == sorted(values)
+    assert read_target(spark, path).count() == 60_000

@@ -55,13 +55,17 @@ def read_target(
 
 
 def clustered(df: DataFrame, cluster_by: Sequence[str], day: bool) -> DataFrame:
-    """Range-partition and sort by day, then by the cluster columns.
+    """Bring rows that are read together into the same sorted files.
 
-    Each file then covers a narrow range of the cluster columns. The row hash
-    at the end splits a day or cluster value that holds many rows.
+    With days, rows are rebalanced by day: adaptive execution splits a day
+    that holds many rows by size and joins small ones, and the rows above the
+    last shuffle are computed once. Each file is sorted by the cluster columns,
+    which lets readers skip pages. Without days the table is range-partitioned;
+    the row hash at the end splits a cluster value that holds many rows.
     """
-    lead = [DAY] if day else []
-    columns = [*lead, *(c for c in cluster_by if c.lower() != DAY)]
+    columns = [c for c in cluster_by if c.lower() != DAY]
+    if day:
+        return df.hint("rebalance", DAY).sortWithinPartitions(DAY, *columns)
     if not columns:
         return df
     spread = F.xxhash64(*[c for c, t in df.dtypes if "map<" not in t and "variant" not in t])
