@@ -115,3 +115,13 @@ def test_run_all_skips_disabled_feeds(spark, tmp_path):
 
     assert run_all(spark, chosen, find, cfg) == ["ListOrder", "AllListingsReport"]
     assert read_target(spark, f"{tmp_path}/ListOrder").count() == 1
+
+
+def test_a_run_without_new_rows_changes_nothing(spark, tmp_path):
+    for name in ("ListOrder", "AllListingsReport"):
+        path = f"{tmp_path}/{name}"
+        sources = [source(spark, [("o1", at(1), "new", T0)])] if name == "ListOrder" else []
+        run_feed(spark, feed(name), sources, path)
+        run_feed(spark, feed(name), [], path)
+        rows = read_target(spark, path, T.StructType.fromDDL("brand string"))
+        assert rows.count() == len(sources)
