@@ -7,10 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
 from tradeloom.llm.common import read_table
+from tradeloom.llm.direct_codes import tokens_on_disk
+from tradeloom.llm.pivotal import mix
 from tradeloom.llm.simhash_pivots import near_duplicates
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op8_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokens_on_disk(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op9_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix(read_table(spark, sf_dir, "documents"))
+    row = F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "source",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+        "copies",
+        row.alias("row"),
+    ).drop("row")
+
+
 def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -21,6 +47,8 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_direct_codes": op8_direct_codes,
+    "op9_pivotal_mix": op9_pivotal_mix,
     "op10_simhash_pivots": op10_simhash_pivots,
 }
 
