@@ -11,12 +11,25 @@ import public_tokenizers
 from tradeloom.llm.common import read_table
 from tradeloom.llm.direct_codes import tokens_on_disk
 from tradeloom.llm.pivotal import mix
+from tradeloom.llm.qgram_filter import find_passages
 from tradeloom.llm.simhash_pivots import near_duplicates
 
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op6_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (F.size("regions") > 0).alias("contaminated"),
+        (F.size("regions") == 0).alias("kept"),
+        F.sort_array(F.array_distinct("regions.item_id")).alias("item_ids"),
+        F.size("regions").alias("n_regions"),
+        F.array_min("regions.edits").alias("fewest_edits"),
+    )
+
+
 def op8_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tokens_on_disk(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return found.withColumnRenamed("id", "doc_id")
@@ -47,6 +60,7 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_qgram_lemma": op6_qgram_lemma,
     "op8_direct_codes": op8_direct_codes,
     "op9_pivotal_mix": op9_pivotal_mix,
     "op10_simhash_pivots": op10_simhash_pivots,
