@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from tradeloom.llm.common import read_table
 from tradeloom.llm.direct_codes import tokens_on_disk
+from tradeloom.llm.factor_machine import ACCEPT, is_held_out, score, train
 from tradeloom.llm.pivotal import mix
 from tradeloom.llm.qgram_filter import find_passages
 from tradeloom.llm.simhash_pivots import near_duplicates
@@ -18,6 +19,17 @@ from tradeloom.llm.simhash_pivots import near_duplicates
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op4_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        is_held_out(F.col("id")).alias("held_out"),
+        "score",
+        (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
+    )
+
+
 def op6_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -60,6 +72,7 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_factor_machine": op4_factor_machine,
     "op6_qgram_lemma": op6_qgram_lemma,
     "op8_direct_codes": op8_direct_codes,
     "op9_pivotal_mix": op9_pivotal_mix,

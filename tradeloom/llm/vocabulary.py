@@ -81,7 +81,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.split(" ") if self._is_plain(t) else None for t in texts]
         words = {w for s in split if s for w in s[1:]}
-        new = words - self.known.keys()
+        new = {w for w in words if w not in self.known}
         if len(self.known) + len(new) > self.max_known:
             self.known.clear()
             new = words
