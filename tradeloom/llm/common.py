@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ __all__ = [
     "read_table",
     "stage",
     "text_key",
+    "text_slices",
     "unit_hash",
     "word_blocks",
     "word_count",
@@ -30,6 +33,7 @@ __all__ = [
 WORD_SEPARATOR = r"[\x20\x09-\x0D]+"
 _SEPARATORS = " \t\n\x0b\x0c\r"
 _BLOCK_BYTES = 1 << 20
+SLICE_BYTES = 1 << 22
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +87,20 @@ def word_blocks(data: bytes):
         yield words
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a bounded number of bytes; a longer text is one slice."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = total = 0
+        for at, size in enumerate(sizes):
+            if at > start and total + size > SLICE_BYTES:
+                yield batch.slice(start, at - start)
+                start, total = at, 0
+            total += size
+        if start < len(sizes):
+            yield batch.slice(start)
+
+
 def unit_hash(*parts: object) -> float:
     """A repeatable number in [0, 1) for the given values."""
     text = "\x1f".join(map(str, parts)).encode()

@@ -12,11 +12,13 @@ from tradeloom.llm.common import read_table
 from tradeloom.llm.direct_codes import tokens_on_disk
 from tradeloom.llm.factor_machine import ACCEPT, is_held_out, score, train
 from tradeloom.llm.pivotal import mix
+from tradeloom.llm.prefix_counts import prefix_tables
 from tradeloom.llm.qgram_filter import find_passages
 from tradeloom.llm.simhash_pivots import near_duplicates
 
 
 TOKENIZER = "byte_bpe_50k.json"
+TOKEN_LIMIT = 512
 
 
 def op4_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +44,13 @@ def op6_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prefix_tables(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 def op8_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tokens_on_disk(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return found.withColumnRenamed("id", "doc_id")
@@ -74,6 +83,7 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_factor_machine": op4_factor_machine,
     "op6_qgram_lemma": op6_qgram_lemma,
+    "op7_prefix_counts": op7_prefix_counts,
     "op8_direct_codes": op8_direct_codes,
     "op9_pivotal_mix": op9_pivotal_mix,
     "op10_simhash_pivots": op10_simhash_pivots,
