@@ -11,6 +11,9 @@ import public_tokenizers
 from tradeloom.llm.common import read_table
 from tradeloom.llm.direct_codes import tokens_on_disk
 from tradeloom.llm.factor_machine import ACCEPT, is_held_out, score, train
+from tradeloom.llm.host_rules import judge
+from tradeloom.llm.link_trust import Rule, judge_urls
+from tradeloom.llm.oracle import host_rules_sql, link_trust_sql
 from tradeloom.llm.pivotal import mix
 from tradeloom.llm.prefix_counts import prefix_tables
 from tradeloom.llm.qgram_filter import find_passages
@@ -21,6 +24,20 @@ TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+# Fixed values of the query.
+RULES = [
+    Rule("net/", "block"),
+    Rule("example.net/en/", "allow"),
+    Rule("example.com/de/", "block"),
+    Rule("org/fr/", "allow"),
+]
+
+
+def op2_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = judge_urls(read_table(spark, sf_dir, "pages"), RULES)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op4_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, read_table(spark, sf_dir, "labels")))
@@ -32,6 +49,12 @@ def op4_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = judge(read_table(spark, sf_dir, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select(F.col("id").alias("doc_id"), *counts, "base_failed", "kept")
+
+
 def op6_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -81,7 +104,9 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_link_trust": op2_link_trust,
     "op4_factor_machine": op4_factor_machine,
+    "op5_host_rules": op5_host_rules,
     "op6_qgram_lemma": op6_qgram_lemma,
     "op7_prefix_counts": op7_prefix_counts,
     "op8_direct_codes": op8_direct_codes,
@@ -89,4 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_pivots": op10_simhash_pivots,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_link_trust": link_trust_sql(RULES),
+    "op5_host_rules": host_rules_sql(),
+}
