@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from tradeloom.llm import host_rules, link_trust
+from tradeloom.llm import arc_to_warc, host_rules, link_trust
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
+def archives_sql() -> str:
+    return f"""
+    WITH payloads AS (
+        SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+            sha256(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), firsts AS (
+        SELECT *, CASE WHEN payload_bytes >= {arc_to_warc.LEAST_REVISIT_BYTES}
+            THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+        FROM payloads
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+    FROM firsts
+    """
+
+
 def host_rules_sql() -> str:
     low, high = host_rules.LEAST_STRENGTH, host_rules.MOST_STRENGTH
     return rf"""

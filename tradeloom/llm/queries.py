@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
+from tradeloom.llm.arc_to_warc import pages_through_archives
 from tradeloom.llm.common import read_table
 from tradeloom.llm.direct_codes import tokens_on_disk
 from tradeloom.llm.factor_machine import ACCEPT, is_held_out, score, train
 from tradeloom.llm.host_rules import judge
 from tradeloom.llm.link_trust import Rule, judge_urls
-from tradeloom.llm.oracle import host_rules_sql, link_trust_sql
+from tradeloom.llm.oracle import archives_sql, host_rules_sql, link_trust_sql
 from tradeloom.llm.pivotal import mix
 from tradeloom.llm.prefix_counts import prefix_tables
 from tradeloom.llm.qgram_filter import find_passages
@@ -38,6 +39,12 @@ def op2_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages_through_archives(read_table(spark, sf_dir, "pages"))
+    columns = ["payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return found.select(F.col("id").alias("page_id"), *columns)
+
+
 def op4_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, read_table(spark, sf_dir, "labels")))
@@ -105,6 +112,7 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_link_trust": op2_link_trust,
+    "op3_arc_to_warc": op3_arc_to_warc,
     "op4_factor_machine": op4_factor_machine,
     "op5_host_rules": op5_host_rules,
     "op6_qgram_lemma": op6_qgram_lemma,
@@ -116,5 +124,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op2_link_trust": link_trust_sql(RULES),
+    "op3_arc_to_warc": archives_sql(),
     "op5_host_rules": host_rules_sql(),
 }
