@@ -19,12 +19,19 @@ from tradeloom.llm.pivotal import mix
 from tradeloom.llm.prefix_counts import prefix_tables
 from tradeloom.llm.qgram_filter import find_passages
 from tradeloom.llm.simhash_pivots import near_duplicates
+from tradeloom.llm.site_templates import extract
 
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op1_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(read_table(spark, sf_dir, "pages"))
+    n_chars = F.char_length("text").cast("long").alias("n_chars")
+    return found.select(F.col("id").alias("page_id"), "url", "text", n_chars)
+
+
 # Fixed values of the query.
 RULES = [
     Rule("net/", "block"),
@@ -111,6 +118,7 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_site_templates": op1_site_templates,
     "op2_link_trust": op2_link_trust,
     "op3_arc_to_warc": op3_arc_to_warc,
     "op4_factor_machine": op4_factor_machine,
