@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import new_folder, open_for_reading, open_for_writing, stage, text_slices
+from tradeloom.llm.common import new_folder, one_task_each, open_for_reading, open_for_writing, stage, text_slices
 
 FILE_BYTES = 16 << 20
 LEAST_REVISIT_BYTES = 100
@@ -309,7 +309,7 @@ def index_arc(files: DataFrame, key_header: str = KEY_HEADER) -> DataFrame:
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return files.select("path").repartition("path").mapInArrow(run, _INDEX)
+    return one_task_each(files.select("path")).mapInArrow(run, _INDEX)
 
 
 _FACTS = "struct<number:int,key:long,record_id:string,url:string,date:string>"
@@ -347,7 +347,7 @@ def convert(files: DataFrame, folder: str, key_header: str = KEY_HEADER, least_b
                 with _plain(path) as stream:
                     yield _file_row(_converted(stream, folder, facts, key_header))
 
-    return stage(work.repartition("path").mapInArrow(run, _FILES), "warc-files")
+    return stage(one_task_each(work).mapInArrow(run, _FILES), "warc-files")
 
 
 def _converted(stream: BinaryIO, folder: str, facts: dict[int, dict], key_header: str) -> _Archive:
@@ -416,7 +416,7 @@ def read_back(files: DataFrame, key_header: str = KEY_HEADER) -> DataFrame:
                 columns = zip(*rows, strict=True) if rows else [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return files.select("path").repartition("path").mapInArrow(run, _ROWS)
+    return one_task_each(files.select("path")).mapInArrow(run, _ROWS)
 
 
 def pages_through_archives(

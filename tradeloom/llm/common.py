@@ -17,6 +17,7 @@ __all__ = [
     "WORD_SEPARATOR",
     "id_and_text",
     "new_folder",
+    "one_task_each",
     "open_for_reading",
     "open_for_writing",
     "read_table",
@@ -34,6 +35,7 @@ WORD_SEPARATOR = r"[\x20\x09-\x0D]+"
 _SEPARATORS = " \t\n\x0b\x0c\r"
 _BLOCK_BYTES = 1 << 20
 SLICE_BYTES = 1 << 22
+MOST_FILE_TASKS = 20_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,6 +117,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
+def one_task_each(files: DataFrame, column: str = "path") -> DataFrame:
+    """Deal rows that stand for files to as many tasks as there are files.
+
+    The rows are few and small, so without a number adaptive execution would
+    put them all into one task.
+    """
+    return files.repartition(min(max(files.count(), 1), MOST_FILE_TASKS), column)
+
+
 def open_for_writing(path: str) -> pa.NativeFile:
     filesystem, at = pafs.FileSystem.from_uri(path)
     return filesystem.open_output_stream(at)
