@@ -14,24 +14,31 @@ def test_utc_wall_clock_in_any_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         df = spark.sql(
-            "SELECT timestamp_seconds(1704103200) AS moment, timestamp_ntz'2024-01-01 10:00:00' AS wall,"
+            "SELECT '2024-01-01 02:00:00 America/Los_Angeles' AS region, '  2024-01-01 02:00:00 PST' AS short,"
+            " '   2024-01-01 10:00:00' AS padded, timestamp_seconds(1704103200) AS moment, timestamp_ntz'2024-01-01 10:00:00' AS wall,"
             " '2024-01-01T10:00:00Z' AS zulu, '2024-01-01T15:30:00+05:30' AS east,"
             " '2024-01-01T03:00:00-07:00' AS west, '2024-01-01 10:00:00' AS bare, '2024-01-01' AS day"
         )
         out = df.select(
             fn.as_utc("moment", "timestamp"),
             fn.as_utc("wall"),
-            *[fn.as_utc(c, "string") for c in ("zulu", "east", "west", "bare")],
+            *[fn.as_utc(c, "string") for c in ("zulu", "east", "west", "bare", "region", "short", "padded")],
             fn.as_utc("day", "string"),
             fn.from_epoch_ms(F.lit(1704103200123)),
         ).first()
-        assert list(out[:6]) == [D(2024, 1, 1, 10)] * 6
-        assert out[6] == D(2024, 1, 1)
-        assert out[7] == D(2024, 1, 1, 10, 0, 0, 123000)
+        assert list(out[:9]) == [D(2024, 1, 1, 10)] * 9
+        assert out[9] == D(2024, 1, 1)
+        assert out[10] == D(2024, 1, 1, 10, 0, 0, 123000)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_an_unknown_zone_is_an_error(spark):
+    df = spark.sql("SELECT '2024-01-01 10:00:00 Nowhere/Land' AS text")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        df.select(fn.as_utc("text", "string")).collect()
+
+
 def test_shift_changes_the_day_key(spark):
     df = spark.sql(
         "SELECT explode(array(timestamp_ntz'2024-03-10 23:30:00', timestamp_ntz'2024-03-10 00:30:00', NULL)) AS t"

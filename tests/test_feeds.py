@@ -45,8 +45,56 @@ def test_matches_stay_in_their_day_but_for_three_feeds():
 
 
 def test_implied_stages_are_dropped():
-    for name in ("FlatFileAllOrdersReportByLastUpdate", "FlatFileReturnsReportByReturnDate"):
-        assert len(feed(name).latest) == 2 and len(_final_stage(feed(name))) == 1
+    name = "FlatFileReturnsReportByReturnDate"
+    assert len(feed(name).latest) == 2 and len(_final_stage(feed(name))) == 1
+    # rows are numbered between the two stages of this feed
+    assert len(_final_stage(feed("FlatFileAllOrdersReportByLastUpdate"))) == 2
+
+
+@pytest.mark.parametrize("hot_rows", [10**9, 0])
+def test_all_orders_are_numbered_before_the_last_stage(spark, hot_rows):
+    name = "FlatFileAllOrdersReportByLastUpdate"
+    day = datetime.datetime
+    frame = raw(
+        spark, name,
+        [("o", day(2024, 1, 1), day(2024, 1, 5), 1, 1), ("o", day(2024, 1, 1), day(2024, 1, 3), 2, 2),
+         ("o", day(2024, 1, 1), day(2024, 1, 3), 1, 3), ("p", day(2024, 1, 1), day(2024, 1, 3), 1, 4)],
+        "amazon_order_id string, purchase_date timestamp_ntz, last_updated_date timestamp_ntz,"
+        " _batch_runtime bigint, quantity bigint",
+    )
+    df = build(spark, feed(name), [RawSource("c.s.A_US_x", frame=frame)], Config(hot_rows=hot_rows))
+    got = sorted((r.amazon_order_id, r.last_updated_date.day, r.quantity, r._seq_id) for r in df.collect())
+    assert got == [("o", 5, 1, 2), ("p", 3, 4, 1)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_nested_fields_of_other_types(spark, zone):
+    """Stored doubles round, stored instants become UTC wall clock."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.sql(
+            "SELECT array(named_struct('PostedDate', timestamp_seconds(1704103200), 'AmazonOrderId', 'o',"
+            " 'MarketplaceName', 'm', 'ShipmentItemList', array(named_struct('SellerSKU', 's', 'QuantityShipped',"
+            " 1.6D, 'ItemFeeList', array(named_struct('FeeType', 'f', 'FeeAmount',"
+            " array(named_struct('CurrencyCode', 'USD', 'CurrencyAmount', 2.5D)))))))) AS ShipmentEventlist,"
+            " 1L AS _user_id, 5L AS _batch_runtime, 1L AS _batch_id"
+        )
+        row = build(spark, feed("ListFinancialEventsOrderFees"), [RawSource("c.s.A_US_x", frame=frame)]).first()
+        found = row.asDict()
+        posted = next(v for k, v in found.items() if k.endswith("PostedDate"))
+        quantity = next(v for k, v in found.items() if k.endswith("QuantityShipped"))
+        assert posted == datetime.datetime(2024, 1, 1, 10) and quantity == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_broken_json_is_an_error(spark):
+    frame = spark.createDataFrame(
+        [('[{"PostedDate": "2024-01-01', 1, 5, 1)],
+        "ShipmentEventlist string, _user_id bigint, _batch_runtime bigint, _batch_id bigint",
+    )
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        build(spark, feed("ListFinancialEventsOrderFees"), [RawSource("c.s.A_US_x", frame=frame)]).collect()
 
 
 def test_keep_latest_is_per_source(spark):

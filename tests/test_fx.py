@@ -25,21 +25,18 @@ def facts(spark):
     )
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_rate_and_fallback(facts, rates, rows, limit):
-    out = with_exchange_rate(facts, Rates.measure(rates, limit), "day", "ccy")
+@pytest.mark.parametrize("hint", ["broadcast", "merge"])
+def test_rate_and_fallback(facts, rates, rows, hint):
+    out = with_exchange_rate(facts, Rates.measure(rates.hint(hint)), "day", "ccy")
     assert rows(out.select("id", F.col("exchange_currency_rate").cast("double"), "exchange_currency_code")) == [
         (1, 1.5, "EUR"), (2, 1.0, "INR"), (3, 1.0, None), (4, 1.0, "USD"), (5, 1.0, "CAD"),
     ]
     assert dict(out.dtypes)["exchange_currency_rate"] == "decimal(38,9)"
 
 
-def test_only_measured_small_rates_are_hinted(facts, rates):
-    def hinted(limit):
-        joined = with_exchange_rate(facts, Rates.measure(rates, limit), "day", "ccy")
-        return "broadcast" in joined._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(500_000) and not hinted(0)
+def test_the_planner_chooses_the_join(facts, rates):
+    joined = with_exchange_rate(facts, Rates.measure(rates), "day", "ccy")
+    assert "hint" not in joined._jdf.queryExecution().analyzed().toString().lower()
 
 
 def test_disabled_needs_no_rates(facts, rows):
@@ -50,5 +47,7 @@ def test_disabled_needs_no_rates(facts, rows):
 
 
 def test_several_rates_for_one_key_are_refused(rates):
-    with pytest.raises(ValueError, match="several exchange rates"):
+    with pytest.raises(ValueError, match="several exchange rates.*2024-01-01, USD"):
         Rates.measure(rates.unionByName(rates))
+    other = rates.withColumn("from_currency_code", F.lit("CHF"))
+    assert Rates.measure(rates.unionByName(other), from_currency="CHF").frame.count() == 2

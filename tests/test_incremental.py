@@ -1,13 +1,16 @@
 import datetime
+import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom import Config
-from tradeloom.config import LOOKBACK_MS
+from tradeloom.config import LOOKBACK_MS, Check
 from tradeloom.operators import max_loaded, read_target, since
 from tradeloom.plans import FEEDS, feed, run_all, run_feed
+from tradeloom.session import shared_dir
 from tradeloom.sources import RawSource
 from tradeloom.streaming import refresh_stream
 
@@ -91,19 +94,26 @@ def test_empty_source_list_then_data(spark, tmp_path):
 
 
 def test_stream_takes_each_arrival_once_and_rereads_the_window(spark, rows, tmp_path):
-    raw, target, log = f"{tmp_path}/Acme_US_Hub_ListOrder", f"{tmp_path}/out", f"{tmp_path}/log"
-    src = RawSource("c.s.Acme_US_Hub_ListOrder", path=raw)
+    root, target, log = f"{tmp_path}/raw", f"{tmp_path}/out", f"{tmp_path}/log"
+    raw = f"{root}/Acme_US_Hub_ListOrder"
     arrivals = [
         [("o1", at(1), "new", T0)],
         [("o1", at(1), "old news", T0 - DAY_MS), ("o2", at(1), "new", T0 + DAY_MS)],
     ]
     for data in arrivals:
         raw_orders(spark, data).write.mode("append").parquet(raw)
-        refresh_stream(spark, ORDER, [src], target, log).awaitTermination()
+        refresh_stream(spark, ORDER, root, target, log).awaitTermination()
     # A batch that arrives late must not replace a newer one.
     assert rows(read_target(spark, target), "AmazonOrderId", "OrderStatus") == [("o1", "new"), ("o2", "new")]
-    refresh_stream(spark, ORDER, [src], target, log).awaitTermination()
+    refresh_stream(spark, ORDER, root, target, log).awaitTermination()
     assert read_target(spark, target).count() == 2
+    # A table of another brand that lands later belongs to the same stream.
+    raw_orders(spark, [("o3", at(1), "new", T0 + DAY_MS)]).write.parquet(f"{root}/Globex_UK_Hub_LISTORDER")
+    raw_orders(spark, [("o4", at(1), "new", T0 + DAY_MS)]).write.parquet(f"{root}/Globex_UK_Hub_Other")
+    refresh_stream(spark, ORDER, root, target, log).awaitTermination()
+    assert rows(read_target(spark, target), "AmazonOrderId", "brand") == [
+        ("o1", "Acme"), ("o2", "Acme"), ("o3", "Globex")
+    ]
 
 
 def test_run_all_skips_disabled_feeds(spark, tmp_path):
@@ -113,10 +123,53 @@ def test_run_all_skips_disabled_feeds(spark, tmp_path):
     def find(like):
         return [source(spark, [("o1", at(1), "new", T0)])] if like == ORDER.like else []
 
-    assert run_all(spark, chosen, find, cfg) == ["ListOrder", "AllListingsReport"]
+    ended = run_all(spark, chosen, find, cfg)
+    assert [(r.name, r.ok) for r in ended] == [("ListOrder", True), ("AllListingsReport", True)]
     assert read_target(spark, f"{tmp_path}/ListOrder").count() == 1
 
 
+def test_run_all_goes_on_after_a_failed_feed(spark, tmp_path):
+    chosen = {n: FEEDS[n] for n in ("AllListingsReport", "ListOrder", "CatalogItems")}
+
+    def find(like):
+        if like == FEEDS["AllListingsReport"].like:
+            raise RuntimeError("no such place")
+        return [source(spark, [("o1", at(1), "new", T0)])] if like == ORDER.like else []
+
+    ended = {r.name: r for r in run_all(spark, chosen, find, Config(out_dir=str(tmp_path)))}
+    assert ended["AllListingsReport"].error == "RuntimeError: no such place"
+    assert ended["ListOrder"].ok and ended["CatalogItems"].ok
+    with pytest.raises(ValueError, match="out_dir"):
+        run_all(spark, chosen, find, Config())
+
+
+def test_run_all_fails_feeds_by_severity(spark, tmp_path):
+    def find(like):
+        return [source(spark, [("o1", at(1), "new", T0)])]
+
+    strict = replace(ORDER, checks=(Check("accepted", ("OrderStatus",), ("old",)), Check("unique", ("AmazonOrderId",))))
+    mild = replace(ORDER, checks=(Check("accepted", ("OrderStatus",), ("old",), severity="warn"),))
+    cfg = Config(out_dir=str(tmp_path))
+    ended = run_all(spark, {"strict": strict, "mild": mild}, find, cfg, check=True)
+    assert [(r.ok, r.failed_checks) for r in ended] == [(False, ("accepted(OrderStatus)",)), (True, ())]
+
+
+def test_nothing_staged_is_left(spark, tmp_path):
+    before = set(os.listdir(shared_dir(spark)))
+    target = f"{tmp_path}/out"
+    for _ in range(2):
+        run_feed(spark, ORDER, [source(spark, [("o1", at(1), "new", T0)])], target, Config(hot_rows=0))
+    twice = [source(spark, [("o1", at(1), "new", T0)]), source(spark, [("o1", at(1), "new", T0)])]
+    with pytest.raises(ValueError):
+        run_feed(spark, ORDER, twice, target)
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
+def test_offsets_are_found_in_any_case():
+    cfg = Config(convert_timezone=True, offset_hours={"Raw.Landing.Acme_US_X": -7})
+    assert cfg.offset_for("raw.landing.acme_us_x") == -7 and cfg.offset_for("raw.landing.other") == 0
+
+
 def test_a_run_without_new_rows_changes_nothing(spark, tmp_path):
     for name in ("ListOrder", "AllListingsReport"):
         path = f"{tmp_path}/{name}"

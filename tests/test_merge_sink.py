@@ -31,6 +31,15 @@ def test_upsert(spark, target, rows):
     ]
 
 
+@pytest.mark.parametrize("exclude", [(), ("v",)])
+def test_all_target_rows_of_a_key_are_updated(spark, rows, exclude):
+    target = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    source = spark.createDataFrame([("a", 9), ("c", 8), (None, 7)], "k string, v int")
+    got = rows(merge_upsert(target, source, ["k"], exclude))
+    a = [("a", 1), ("a", 2)] if exclude else [("a", 9), ("a", 9)]
+    assert got == sorted([*a, ("b", 3), (None, 4), ("c", 8), (None, 7)], key=lambda r: [(v is not None, str(v)) for v in r])
+
+
 def files(path):
     return {
         os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns

@@ -17,7 +17,8 @@ from tradeloom.sources import (
     normalize_lineage,
     scan,
 )
-from tradeloom.sources.raw import clip
+from tradeloom.sources.discovery import matches
+from tradeloom.sources.raw import clip, tagged_scan
 
 
 def test_discovery_by_name_skips_decoys(spark, rows):
@@ -88,6 +89,29 @@ def test_folder_scan_prunes_nested_fields_and_renames_lineage(spark, tmp_path):
     }
 
 
+def test_folders_of_one_schema_are_one_scan(spark, tmp_path):
+    lineage = "1L AS _user_id, 5L AS _batch_runtime, 6L AS _batch_id"
+    for i in range(12):
+        spark.sql(f"SELECT '{i}' AS a, {i % 2 == 0} AS other, 'p' AS day, {lineage}").write.partitionBy("day").parquet(f"{tmp_path}/B{i}_US_x")
+    spark.sql(f"SELECT '77' AS a, 1 AS more, {lineage}").write.parquet(f"{tmp_path}/B77_UK_x")
+    schema = T.StructType.fromDDL("a string, _user_id bigint, _batch_runtime bigint, _batch_id bigint")
+    cfg = Config(convert_timezone=True, offset_hours={"RAW.landing.b3_us_x": -7})
+    sources = discover_paths(spark, str(tmp_path), "b%_x")
+    df = tagged_scan(spark, sources, schema, cfg, True, 5)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert len(sources) == 13 and plan.count("FileScan parquet") == 2
+    assert "GreaterThanOrEqual(_batch_runtime,5)" in plan
+    got = {(r.brand, r.store, r.a, r._offset_hours) for r in df.collect()}
+    want = {(f"B{i}", "US", str(i), -7 if i == 3 else 0) for i in range(12)} | {("B77", "UK", "77", 0)}
+    assert got == want
+    assert len({r._source_no for r in df.collect()}) == 13
+
+
+def test_like_on_names():
+    assert matches("Acme_US_ListOrder", "%listorder") and matches("aXb", "A_B") and not matches("ab", "a_b")
+    assert not matches("a.b", "a_") and matches("a%b", "a%b")
+
+
 def test_missing_fields_are_errors(spark, tmp_path):
     actual = T.StructType.fromDDL("a array<struct<b:int>>")
     with pytest.raises(ValueError, match="no field c"):

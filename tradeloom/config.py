@@ -34,7 +34,7 @@ class Config:
     default_store: str = ""
     convert_currency: bool = False
     convert_timezone: bool = False
-    offset_hours: Mapping[str, int] = field(default_factory=dict)
+    offset_hours: Mapping[str, int] = field(default_factory=dict)  # names in any case
     recency_timezone: str = "America/Los_Angeles"
     enabled: Mapping[str, bool] = field(default_factory=dict)
     out_dir: str | None = None
@@ -48,7 +48,8 @@ class Config:
     def offset_for(self, source_name: str) -> int:
         if not self.convert_timezone:
             return 0
-        return self.offset_hours.get(source_name, 0)
+        hours = {name.lower(): h for name, h in self.offset_hours.items()}
+        return hours.get(source_name.lower(), 0)
 
 
 @dataclass(frozen=True)
@@ -80,11 +81,16 @@ class Latest:
 
 @dataclass(frozen=True)
 class Sequence:
-    """Number rows per key; ``"-x"`` in ``order`` sorts ``x`` descending."""
+    """Number rows per key; ``"-x"`` in ``order`` sorts ``x`` descending.
+
+    ``before_last`` numbers the rows that the last keep-latest stage chooses
+    from, so that the rows it keeps need not be the first ones.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     per_source: bool = False
+    before_last: bool = False
 
 
 @dataclass(frozen=True)

@@ -22,6 +22,7 @@ class FeedCase:
     rank: str = "row_number()"
     lead: str = "_batch_runtime DESC NULLS LAST, _batch_id DESC NULLS LAST"
     where: str = "TRUE"
+    first_keys: str = ""
     seq_keys: str = ""
     seq_order: str = ""
     fx_day: str = ""  # SQL over the flat raw rows
@@ -170,8 +171,13 @@ CASES: dict[str, FeedCase] = {
         keys="purchase_date, amazon_order_id, asin, sku",
         lead="last_updated_date DESC NULLS LAST, _batch_runtime DESC NULLS LAST,"
         " _batch_id DESC NULLS LAST",
+        first_keys="last_updated_date, purchase_date, amazon_order_id, asin, sku",
         seq_keys="purchase_date, amazon_order_id, asin, sku, src",
-        seq_order="_batch_runtime DESC NULLS LAST, quantity DESC NULLS LAST",
+        seq_order=(
+            "_batch_runtime DESC NULLS LAST, quantity DESC NULLS LAST, marketplaceId NULLS FIRST,"
+            " last_updated_date NULLS FIRST, order_status NULLS FIRST, currency NULLS FIRST,"
+            " item_price NULLS FIRST, _batch_id NULLS FIRST"
+        ),
         fx_day="purchase_date",
         fx_code="currency",
     ),
@@ -317,12 +323,23 @@ def feed_sql(name: str, batches: str = "TRUE") -> str:
     select = ", ".join(f'raw.{e} AS "{n}"' if e == n else f'{e} AS "{n}"' for n, e in defined.items())
     ties = ", ".join(f'"{n}" NULLS FIRST' for n in case.filled)
     order = case.lead if case.rank == "dense_rank()" else f"{case.lead}, {ties}"
+    numbered, newest_of = "", "tagged"
+    if case.first_keys:
+        # numbered after one keep-latest stage and before the last
+        numbered = (
+            f" first AS (SELECT * FROM tagged QUALIFY row_number() OVER (PARTITION BY"
+            f" {case.first_keys}, src ORDER BY _batch_runtime DESC NULLS LAST,"
+            f" _batch_id DESC NULLS LAST, {ties}) = 1),"
+            f" numbered AS (SELECT *, row_number() OVER (PARTITION BY {case.seq_keys}"
+            f" ORDER BY {case.seq_order}) AS {SEQ_ID} FROM first),"
+        )
+        newest_of = "numbered"
     sql = (
         f"WITH raw AS ({rows}), tagged AS (SELECT src,"
         " CASE src WHEN 0 THEN 'Acme' ELSE 'Globex' END AS brand,"
         " CASE src WHEN 0 THEN 'US' ELSE 'UK' END AS store,"
         f" {select}, {', '.join(LINEAGE)} FROM raw WHERE ({case.where}) AND ({batches})),"
-        f" latest AS (SELECT * FROM tagged QUALIFY {case.rank}"
+        f"{numbered} latest AS (SELECT * FROM {newest_of} QUALIFY {case.rank}"
         f" OVER (PARTITION BY {case.keys}, src ORDER BY {order}) = 1)"
     )
     columns = [
@@ -330,7 +347,9 @@ def feed_sql(name: str, batches: str = "TRUE") -> str:
         for n in ("brand", "store", *case.filled, *LINEAGE)
     ]
     joins = ""
-    if case.seq_keys:
+    if case.first_keys:
+        columns.append(f"latest.{SEQ_ID}")
+    elif case.seq_keys:
         columns.append(
             f"row_number() OVER (PARTITION BY {case.seq_keys} ORDER BY {case.seq_order})"
             f" AS {SEQ_ID}"

@@ -21,6 +21,7 @@ from tradeloom.sources import (
     RawSource,
     consolidate,
     discover_names,
+    discover_paths,
     normalize_lineage,
     stamp,
     tag_columns,
@@ -288,7 +289,7 @@ def fx_join(spark, sf_dir):
 @_register("fx_join_large_rates", SQL["fx_join"])
 def fx_join_large_rates(spark, sf_dir):
     """The same join with the rates treated as too large to broadcast."""
-    rates = ops.Rates.measure(raw.rates(spark, sf_dir), broadcast_rows=0)
+    rates = ops.Rates.measure(raw.rates(spark, sf_dir).hint("merge"))
     paid = raw.run_sql(spark, sf_dir, PAID)
     joined = ops.with_exchange_rate(paid, rates, F.to_date("l_shipdate"), "currency")
     return comparable(joined.drop("l_shipdate"))
@@ -627,6 +628,23 @@ def seq_id_hot_groups(spark, sf_dir):
 # Timestamps ---------------------------------------------------------------------------
 
 
+@_register(
+    "tz_text_zones",
+    """SELECT o_orderkey, o_orderdate + INTERVAL '10' HOUR + CASE o_orderkey % 5
+    WHEN 0 THEN INTERVAL '0' HOUR WHEN 1 THEN INTERVAL '-9' HOUR WHEN 2 THEN INTERVAL '3' HOUR
+    WHEN 3 THEN INTERVAL '0' HOUR ELSE INTERVAL '-4' HOUR END AS at FROM orders""",
+)
+def tz_text_zones(spark, sf_dir):
+    """Wall clock times with region names and offsets after them, some padded."""
+    zone = F.element_at(
+        F.array(*map(F.lit, ("", " Asia/Tokyo", "-03:00", "Z", " +0400"))), (F.col("o_orderkey") % 5 + 1).cast("int")
+    )
+    zone = F.when(zone == " +0400", " GMT+04:00").otherwise(zone)
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.concat(F.lit("   "), day, F.lit(" 10:00:00"), zone)
+    return raw.table(spark, sf_dir, "orders").select("o_orderkey", fn.as_utc(text, "string").alias("at"))
+
+
 @_register(
     "tz_shift",
     """SELECT event_id, ts - INTERVAL '7' HOUR AS pacific, ts AS utc,
@@ -731,6 +749,39 @@ def merge_null_keys(spark, sf_dir):
     return ops.merge_upsert(target, source, ["id"])
 
 
+def _twice(side: str, columns: str) -> str:
+    return f"SELECT o_custkey AS id, {columns} FROM {_duck(ORDERS)} AS o WHERE {side}"
+
+
+_REPEATED_TARGET = "b = 0 AND o_orderkey % 3 = 0"
+_ONE_PER_CUSTOMER = "SELECT id, max(status) AS status, max(amount) AS amount FROM ({}) AS o GROUP BY id"
+
+
+@_register(
+    "merge_repeated_target",
+    f"""WITH t AS ({_twice(_REPEATED_TARGET, 'status, amount')}),
+    s AS ({_ONE_PER_CUSTOMER.format(_twice('b = 1 AND o_custkey % 2 = 0', 'status, amount'))})
+    SELECT 'all' AS form, t.id, s.status, s.amount FROM t JOIN s ON t.id = s.id
+    UNION ALL SELECT 'kept', t.id, s.status, t.amount FROM t JOIN s ON t.id = s.id
+    UNION ALL SELECT f.form, t.id, t.status, t.amount FROM t, (VALUES ('all'), ('kept')) AS f(form)
+    WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)
+    UNION ALL SELECT f.form, s.id, s.status, s.amount FROM s, (VALUES ('all'), ('kept')) AS f(form)
+    WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.id = s.id)""",
+)
+def merge_repeated_target(spark, sf_dir):
+    """Customers have several target rows; a matched key updates all of them."""
+    orders = raw.run_sql(spark, sf_dir, ORDERS).withColumn("id", F.col("o_custkey"))
+    target = orders.where(_REPEATED_TARGET).select("id", "status", "amount")
+    source = orders.where("b = 1 AND o_custkey % 2 = 0")
+    source = source.groupBy("id").agg(F.max("status").alias("status"), F.max("amount").alias("amount"))
+    forms = {"all": (), "kept": ("amount",)}
+    merged = [
+        ops.merge_upsert(target, source, ["id"], kept).withColumn("form", F.lit(form))
+        for form, kept in forms.items()
+    ]
+    return merged[0].unionByName(merged[1])
+
+
 _ORDER_ROWS = f"SELECT o_orderkey, status, amount, o_orderdate FROM {_duck(ORDERS)} AS o"
 
 
@@ -837,18 +888,26 @@ def incremental_equals_full(spark, sf_dir):
     )
 
 
+@_register("multi_source_scan", _state_sql(_NEWEST))
+def multi_source_scan(spark, sf_dir):
+    """Raw folders of one schema are one scan, tagged from the path of each file."""
+    root = scratch_path(spark, "landing")
+    for source in _event_orders(spark, sf_dir, "b <= 2"):
+        source.frame.write.parquet(f"{root}/{source.name.rsplit('.', 1)[1]}")
+    item = feed("ListOrder")
+    return build(spark, item, discover_paths(spark, root, item.like)).select(*_STATE)
+
+
 @_register("stream_refresh", _state_sql(_NEWEST))
 def stream_refresh(spark, sf_dir):
     """Two arrivals of raw files, each taken by one run of the stream."""
     root, target = scratch_path(spark, "landing"), scratch_path(spark, "orders")
     checkpoint = scratch_path(spark, "stream")
     for where in ("b <= 1", "b = 2"):
-        landed = []
         for source in _event_orders(spark, sf_dir, where):
             path = f"{root}/{source.name.rsplit('.', 1)[1]}"
             source.frame.write.mode("append").parquet(path)
-            landed.append(RawSource(source.name, path=path))
-        refresh_stream(spark, feed("ListOrder"), landed, target, checkpoint).awaitTermination()
+        refresh_stream(spark, feed("ListOrder"), root, target, checkpoint).awaitTermination()
     return ops.read_target(spark, target).select(*_STATE)
 
 

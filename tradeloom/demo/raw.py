@@ -67,13 +67,12 @@ _MARKET = "'M' || " + text("l_suppkey % 3")
 _SELLER = "'SP' || " + text("l_orderkey % 2")
 _PART_GROUP = "CAST(FLOOR(p_partkey / 6) AS BIGINT)"
 
-RATES = (
-    "SELECT d AS date, 'EUR' AS from_currency_code, c.code AS to_currency_code,"
-    " CAST(c.base + (day(d) % 4) * 0.25 AS DECIMAL(38, 9)) AS value FROM ("
-    "SELECT CAST(o_orderdate AS DATE) AS d FROM {orders}"
-    " UNION SELECT CAST(ts AS DATE) AS d FROM {events}) AS days"
-    " JOIN (VALUES ('USD', 1, 0), ('CAD', 2, 0), ('GBP', 3, 0)) AS c(code, base, one)"
-    " ON c.one = day(d) % 1 WHERE day(d) % 5 <> 0"
+_DAYS = "SELECT CAST(o_orderdate AS DATE) AS d FROM {orders} UNION SELECT CAST(ts AS DATE) AS d FROM {events}"
+RATES = " UNION ALL ".join(
+    f"SELECT d AS date, 'EUR' AS from_currency_code, '{code}' AS to_currency_code,"
+    f" CAST({base} + (day(d) % 4) * 0.25 AS DECIMAL(38, 9)) AS value FROM ({_DAYS}) AS days_{code}"
+    " WHERE day(d) % 5 <> 0"
+    for code, base in (("USD", 1), ("CAD", 2), ("GBP", 3))
 )
 
 FLAT = {

@@ -21,6 +21,10 @@ COUNTRY = {
 # The cast names of nested fields and their Spark types.
 LEAF_TYPES = {"string": "string", "integer": "bigint", "numeric": "decimal(38,9)"}
 
+# A date, a time of day and something after it.
+_ZONED = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\s*\d{1,2}(?::\d{1,2}){1,2}(?:\.\d*)?\s*[^\d\s.:]"
+
+
 def _to_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -48,12 +52,13 @@ def as_utc(col: Column | str, dtype: str = "timestamp_ntz") -> Column:
     if dtype == "timestamp":
         return _from_epoch("MICROSECOND", F.unix_micros(col))
     if dtype == "string":
-        # A sign after the date part, or a final Z, can only be a zone.
-        tail = F.substring(col, 11, 64)
-        zoned = tail.endswith("Z") | tail.contains("+") | tail.contains("-")
-        instant = F.unix_micros(col.cast("timestamp"))
+        # What follows the time of day is a zone; the cast knows offsets and
+        # region names and fails on a zone that it does not know.
+        text = F.trim(col)
+        zoned = text.rlike(_ZONED)
+        instant = F.unix_micros(text.cast("timestamp"))
         return F.when(zoned, _from_epoch("MICROSECOND", instant)).otherwise(
-            col.cast("timestamp_ntz")
+            text.cast("timestamp_ntz")
         )
     return col.cast("timestamp_ntz")
 

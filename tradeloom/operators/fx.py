@@ -10,32 +10,35 @@ from pyspark.sql import functions as F
 RATE = "exchange_currency_rate"
 CODE = "exchange_currency_code"
 
-# A rate row is a date, two currency codes and a decimal: under 100 bytes.
-# 500,000 rows stay below 50 MB in every executor.
-BROADCAST_ROWS = 500_000
-
 
 @dataclass(frozen=True)
 class Rates:
     """Rates ``(date, from_currency_code, to_currency_code, value)``, measured once."""
 
     frame: DataFrame
-    small: bool
 
     @classmethod
-    def measure(cls, frame: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Rates:
-        """Count the rates and refuse a key that would multiply fact rows."""
+    def measure(cls, frame: DataFrame, from_currency: str | None = None) -> Rates:
+        """Refuse a key that would multiply fact rows.
+
+        ``from_currency`` chooses one where rates from several are given.
+        """
         frame = frame.select("date", "from_currency_code", "to_currency_code", "value")
-        stats = (
+        if from_currency is not None:
+            frame = frame.where(F.col("from_currency_code") == from_currency)
+        repeated = (
             frame.where("date is not null and to_currency_code is not null")
             .groupBy("date", "to_currency_code")
             .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.sum("n").alias("rows"), F.max("n").alias("most"))
+            .where("n > 1")
             .first()
         )
-        if (stats["most"] or 0) > 1:
-            raise ValueError("several exchange rates for one date and target currency")
-        return cls(frame, (stats["rows"] or 0) <= broadcast_rows)
+        if repeated is not None:
+            raise ValueError(
+                f"several exchange rates for one date and target currency: {repeated['date']},"
+                f" {repeated['to_currency_code']}; name a from_currency"
+            )
+        return cls(frame)
 
 
 def with_exchange_rate(
@@ -47,8 +50,9 @@ def with_exchange_rate(
 ) -> DataFrame:
     """Add rate and code; rows without a rate get 1 and their own currency.
 
-    Small rates are broadcast, so the fact rows do not move. Larger ones are
-    joined by shuffle, where adaptive execution splits a hot date.
+    The planner broadcasts rates below its size threshold, so the fact rows do
+    not move. Larger ones are joined by shuffle, where adaptive execution splits
+    a hot date.
     """
     if not enabled:
         return df.withColumns(
@@ -63,8 +67,6 @@ def with_exchange_rate(
         F.col("from_currency_code").alias("_fx_from"),
         F.col("value").cast("decimal(38,9)").alias("_fx_value"),
     )
-    if rates.small:
-        side = F.broadcast(side)
     joined = df.join(
         side, (date == F.col("_fx_day")) & (F.col(currency) == F.col("_fx_to")), "left"
     )

@@ -23,30 +23,24 @@ def merge_upsert(
 ) -> DataFrame:
     """Target after the merge: matched rows updated, the others inserted.
 
-    Keys match by plain equality, so a NULL key never matches. Columns in
-    ``exclude`` keep the target's value on a match and take the source's on
-    an insert. Nothing is deleted.
+    Keys match by plain equality, so a NULL key never matches. Every target
+    row of a matched key is updated. Columns in ``exclude`` keep the target's
+    value on a match and take the source's on an insert. Nothing is deleted.
     """
     names = [f"_merge_key{i}" for i in range(len(keys))]
     source_keys = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    target_keys = target.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
     kept = target.join(source_keys, _match(keys, names), "left_anti")
-    if not exclude:
-        return kept.unionByName(source)
+    inserted = source.join(target_keys, _match(keys, names), "left_anti")
     held = {c.lower(): f"_held{i}" for i, c in enumerate(exclude)}
     before = target.select(
         *[F.col(k).alias(n) for k, n in zip(keys, names)],
         *[F.col(c).alias(held[c.lower()]) for c in exclude],
-        F.lit(True).alias("_matched"),
     )
-    upserts = source.join(before, _match(keys, names), "left").select(
-        *[
-            F.when(F.col("_matched"), F.col(held[c.lower()])).otherwise(F.col(c)).alias(c)
-            if c.lower() in held
-            else F.col(c)
-            for c in source.columns
-        ]
+    updated = source.join(before, _match(keys, names)).select(
+        *[F.col(held[c.lower()]).alias(c) if c.lower() in held else F.col(c) for c in source.columns]
     )
-    return kept.unionByName(upserts)
+    return kept.unionByName(updated).unionByName(inserted)
 
 
 def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:

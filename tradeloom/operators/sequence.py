@@ -12,6 +12,7 @@ from tradeloom.session import stage
 
 _ROW = "_row_no"
 _RANGE = "_range"
+_MOST_RANGES = 20_000
 
 
 def number_rows(
@@ -24,19 +25,29 @@ def number_rows(
 ) -> DataFrame:
     """Add ``row_number`` per key; ``"-x"`` in ``order`` sorts ``x`` descending.
 
-    Ascending columns put NULL first, descending ones last. A key with more
-    than ``hot_rows`` rows is split into ranges of its sort order, each range
-    is numbered in its own task, and the counts of the ranges before it are
-    added. ``split`` says whether such keys exist; ``None`` looks.
+    Ascending columns put NULL first, descending ones last. Rows of keys with
+    more than ``hot_rows`` rows are set apart: their keys are split into ranges
+    of the sort order, each range is numbered in its own task, and the counts
+    of the ranges before it are added. All other rows are numbered by one
+    window. ``split`` says whether such keys exist; ``None`` looks.
     """
     keys = _cols(keys)
     terms = [(o.lstrip("-"), o.startswith("-")) for o in order]
     if split is None:
         split = has_hot_group(df, keys, hot_rows)
-    if split:
-        return _number_in_ranges(df, keys, terms, out, hot_rows)
     window = Window.partitionBy(*keys).orderBy(*_sort(terms))
-    return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+    if not split:
+        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+    names = [f"_hot_key{i}" for i in range(len(keys))]
+    # Keys with so many rows are few; the planner may broadcast them.
+    hot = stage(_sizes(df, keys, names).where(F.col("_size") > hot_rows), "hot-keys")
+    same = F.lit(True)
+    for key, name in zip(keys, names):
+        same = same & key.eqNullSafe(F.col(name))
+    cold = df.join(hot, same, "left_anti")
+    numbered = cold.withColumn(out, F.row_number().over(window).cast("bigint"))
+    ranged = _number_in_ranges(df.join(hot, same, "left_semi"), keys, terms, out, hot_rows)
+    return numbered.unionByName(ranged)
 
 
 def has_hot_group(df: DataFrame, keys: Sequence[Column | str], hot_rows: int) -> bool:
@@ -79,14 +90,14 @@ def _number_in_ranges(
     rows = stage(df.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
     order = _sort([*terms, (_ROW, False)])
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(rows.count() // hot_rows + 1, partitions)
+    ranges = min(max(rows.count() // max(hot_rows, 1) + 1, partitions), _MOST_RANGES)
     ranged = stage(
         rows.repartitionByRange(ranges, *keys, *order).withColumn(_RANGE, F.spark_partition_id()),
         "ranges",
     )
 
     # Where a key goes on from an earlier range: at most one key per range
-    # does, so this table has fewer rows than there are ranges.
+    # does, so this table has fewer rows than there are ranges, which are bounded.
     names = [f"_hot_key{i}" for i in range(len(keys))]
     earlier = Window.partitionBy(*names).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -233,6 +233,7 @@ ALL_ORDERS = Feed(
         ("purchase_date", "amazon_order_id", "asin", "sku"),
         ("-" + BATCH_RUNTIME, "-quantity"),
         per_source=True,
+        before_last=True,
     ),
     fx=Fx("purchase_date", "currency", raw=True),
     merge_keys=("purchase_date", "amazon_order_id", "asin", "sku", SEQ_ID),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,14 @@ from tradeloom.operators.incremental import max_loaded
 from tradeloom.operators.latest import keep_latest
 from tradeloom.operators.nested import unnest
 from tradeloom.operators.sequence import has_hot_group, number_rows
-from tradeloom.operators.sink import merge_into, read_target, target_exists, write_full
-from tradeloom.session import delete_path, scratch_path, stage
+from tradeloom.operators.sink import (
+    merge_into,
+    prune_snapshots,
+    read_target,
+    target_exists,
+    write_full,
+)
+from tradeloom.session import stage, staged_tables
 from tradeloom.sources import RawSource, stamp
 from tradeloom.sources.raw import OFFSET, SOURCE_NO, tagged_scan
 
@@ -46,7 +53,12 @@ def _carried(name: str) -> str:
     return "_key_" + name.replace(".", "_") if "." in name else name
 
 
-def _project(col: Col, shift: bool) -> Column | str:
+def _stored(raw: DataFrame, path: str) -> str:
+    """The type a raw value is stored with, as Spark writes it in SQL."""
+    return raw.select(path).schema[0].dataType.simpleString()
+
+
+def _project(col: Col, shift: bool, raw: DataFrame) -> Column | str:
     moved = shift and col.kind in ("stamp", "leaf_stamp")
     if col.kind in ("plain", "stamp") and not moved and col.default is None:
         return col.name
@@ -54,9 +66,9 @@ def _project(col: Col, shift: bool) -> Column | str:
     if col.kind == "date":
         value = day_of(value)
     elif col.kind == "leaf":
-        value = cast_leaf(value, col.dtype)
+        value = cast_leaf(value, col.dtype, _stored(raw, col.path))
     elif col.kind == "leaf_stamp":
-        value = as_utc(value, "string")
+        value = as_utc(value, _stored(raw, col.path))
     if moved:
         value = shift_hours(value, F.col(OFFSET))
     if col.default is not None:
@@ -77,11 +89,18 @@ def project(raw: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
     shift = feed.tz_aware and cfg.convert_timezone and bool(cfg.offset_hours)
     dotted = [k for step in feed.latest for k in step.keys if "." in k]
     done = set()
+    if feed.unnest and _chosen_before_unnest(feed):
+        # Un-nesting drops no row: only the newest raw rows of a key can win.
+        step = feed.latest[-1]
+        order = [*step.order, *(c for c in (BATCH_RUNTIME, BATCH_ID) if c not in step.order)]
+        named = {c.name: c for c in feed.columns}
+        keys = [_raw_key(k, named, shift, raw) for k in step.keys]
+        raw = keep_latest(raw, [*keys, F.col(SOURCE_NO)], order, ties="all", hot=False)
     for path in feed.unnest:
         raw = unnest(raw, path)
         level = path.rsplit(".", 1)[-1] + "."
         mine = [c for c in feed.columns if "leaf" in c.kind and c.path.startswith(level)]
-        read = {c.name: _project(c, shift) for c in mine}
+        read = {c.name: _project(c, shift, raw) for c in mine}
         read |= {_carried(k): F.col(k) for k in dotted if k.startswith(level)}
         if read:
             raw = raw.withColumns(read)
@@ -90,7 +109,7 @@ def project(raw: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
     return raw.select(
         "brand",
         "store",
-        *[c.name if c.name in done else _project(c, shift) for c in feed.columns],
+        *[c.name if c.name in done else _project(c, shift, raw) for c in feed.columns],
         *LINEAGE,
         SOURCE_NO,
         *carried,
@@ -98,13 +117,37 @@ def project(raw: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
     )
 
 
+def _chosen_before_unnest(feed: Feed) -> bool:
+    """Whether the newest row of a key can be told from the raw columns alone."""
+    step = feed.latest[-1]
+    nested = {c.name for c in feed.columns if "leaf" in c.kind}
+    lineage = {*LINEAGE}
+    names = [_DAY_KEY.sub(r"\1", k) for k in step.keys]
+    flat = {c.name for c in feed.columns} - nested
+    return (
+        len(feed.latest) == 1
+        and step.ties == "one"
+        and all(n in flat for n in names)
+        and set(step.order) <= lineage
+    )
+
+
+def _raw_key(key: str, named: Mapping[str, Col], shift: bool, raw: DataFrame) -> Column:
+    day = _DAY_KEY.fullmatch(key)
+    value = _project(named[day.group(1) if day else key], shift, raw)
+    value = F.col(value) if isinstance(value, str) else value
+    return day_of(value) if day else value
+
+
 def _final_stage(feed: Feed) -> tuple[Latest, ...]:
     """Drop a keep-latest stage that the last one implies.
 
     The last stage keeps one row on a subset of the earlier keys with an order
     that decides before, or equally to, the earlier one: the row it picks has
-    passed the earlier stage.
+    passed the earlier stage. Rows that are numbered in between need both.
     """
+    if feed.sequence and feed.sequence.before_last:
+        return feed.latest
     last = feed.latest[-1]
     return tuple(
         s
@@ -123,8 +166,10 @@ def _group(keys: Sequence[str], per_source: bool) -> list[Column]:
     return [_key(k) for k in keys] + ([F.col(SOURCE_NO)] if per_source else [])
 
 
-def _deduplicate(df: DataFrame, feed: Feed, hot: bool) -> DataFrame:
-    for step in _final_stage(feed):
+def _deduplicate(
+    df: DataFrame, feed: Feed, hot: bool, steps: Sequence[Latest] | None = None
+) -> DataFrame:
+    for step in _final_stage(feed) if steps is None else steps:
         order = list(step.order)
         if step.ties == "one":
             order += [c for c in (BATCH_RUNTIME, BATCH_ID) if c not in order]
@@ -137,7 +182,8 @@ def _deduplicate(df: DataFrame, feed: Feed, hot: bool) -> DataFrame:
 def _number(df: DataFrame, feed: Feed, cfg: Config, hot: bool) -> DataFrame:
     seq = feed.sequence
     last = feed.latest[-1]
-    if seq.per_source and last.ties == "one" and set(last.keys) <= set(seq.keys):
+    one_left = last.ties == "one" and set(last.keys) <= set(seq.keys)
+    if seq.per_source and one_left and not seq.before_last:
         return df.withColumn(SEQ_ID, F.lit(1).cast("bigint"))  # one row per key is left
     named = {o.lstrip("-") for o in seq.order}
     rest = [c.name for c in feed.columns if c.name not in {*named, *seq.keys}]
@@ -156,6 +202,10 @@ def _distinct_rows(rows: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
     hot group one shuffle on the shorter key serves both windows.
     """
     seq = feed.sequence
+    if seq and seq.before_last:
+        hot = has_hot_group(rows, _group(seq.keys, seq.per_source), cfg.hot_rows)
+        rows = _deduplicate(rows, feed, hot, feed.latest[:-1])
+        return _deduplicate(_number(rows, feed, cfg, hot), feed, hot, feed.latest[-1:])
     if feed.latest[-1].ties == "one":
         # One row per key is left; a numbered group holds one per marketplace.
         result = _deduplicate(rows, feed, hot=False)
@@ -207,31 +257,47 @@ def run_feed(
     full_refresh: bool = False,
     on_duplicate: str = "error",
 ) -> None:
-    """Full refresh on the first run, else watermark, transform and merge."""
+    """Full refresh on the first run, else watermark, transform and merge.
+
+    Intermediate tables go to the shared folder and are deleted at the end,
+    also after an error.
+    """
     cfg = cfg or Config()
-    first = full_refresh or not target_exists(spark, target)
-    if first:
-        rows = build(spark, feed, sources, cfg, rates, None, prefix)
-        write_full(
-            rows, target, feed.partition_by, feed.cluster_by, snapshots=not feed.partition_in_key
+    with staged_tables(spark):
+        if full_refresh or not target_exists(spark, target):
+            rows = build(spark, feed, sources, cfg, rates, None, prefix)
+            snapshots = not feed.partition_in_key
+            write_full(rows, target, feed.partition_by, feed.cluster_by, snapshots=snapshots)
+            return
+        clock = read_target(spark, target, T.StructType.fromDDL(LINEAGE_DDL))
+        loaded = max_loaded(clock, cfg.lookback_ms)
+        # Written once: the merge reads it for days, repeated keys and rows.
+        rows = stage(build(spark, feed, sources, cfg, rates, loaded, prefix), feed.name)
+        merge_into(
+            target,
+            rows,
+            feed.merge_keys,
+            feed.merge_exclude,
+            feed.partition_by,
+            feed.cluster_by,
+            on_duplicate,
+            latest_by=(BATCH_RUNTIME, BATCH_ID),
         )
-        return
-    clock = read_target(spark, target, T.StructType.fromDDL(LINEAGE_DDL))
-    loaded = max_loaded(clock, cfg.lookback_ms)
-    # Written once: the merge reads it for days, repeated keys and rows.
-    scratch = scratch_path(spark, feed.name)
-    rows = stage(build(spark, feed, sources, cfg, rates, loaded, prefix), feed.name, scratch)
-    merge_into(
-        target,
-        rows,
-        feed.merge_keys,
-        feed.merge_exclude,
-        feed.partition_by,
-        feed.cluster_by,
-        on_duplicate,
-        latest_by=(BATCH_RUNTIME, BATCH_ID),
-    )
-    delete_path(spark, scratch)
+    if not feed.partition_in_key:
+        prune_snapshots(spark, target)
+
+
+@dataclass(frozen=True)
+class FeedRun:
+    """How one feed of a whole run ended."""
+
+    name: str
+    error: str | None = None
+    failed_checks: tuple[str, ...] = ()
+
+    @property
+    def ok(self) -> bool:
+        return self.error is None and not self.failed_checks
 
 
 def run_all(
@@ -241,20 +307,41 @@ def run_all(
     cfg: Config,
     rates: DataFrame | None = None,
     prefix: str = "",
-) -> list[str]:
-    """Run every enabled feed into ``cfg.out_dir``; returns the names run.
+    full_refresh: bool = False,
+    on_duplicate: str = "error",
+    check: bool = False,
+    as_of: str | None = None,
+) -> list[FeedRun]:
+    """Run every enabled feed into ``cfg.out_dir`` and tell how each ended.
 
-    ``find_sources(like)`` lists the raw tables of one name pattern.
+    ``find_sources(like)`` lists the raw tables of one name pattern. A feed
+    that fails does not stop the others. With ``check`` the declared checks run
+    after each load; failures of severity ``error`` fail the feed.
     """
+    if not cfg.out_dir:
+        raise ValueError("a whole run needs Config.out_dir")
     measured = Rates.measure(rates) if cfg.convert_currency and rates is not None else None
-    done = []
+    ended = []
     for name, item in feeds.items():
-        if cfg.is_enabled(name):
-            run_feed(
-                spark, item, find_sources(item.like), f"{cfg.out_dir}/{name}", cfg, measured, prefix
-            )
-            done.append(name)
-    return done
+        if not cfg.is_enabled(name):
+            continue
+        target = f"{cfg.out_dir}/{name}"
+        try:
+            sources = find_sources(item.like)
+            run_feed(spark, item, sources, target, cfg, measured, prefix, full_refresh, on_duplicate)
+            failed = failed_checks(spark, item, target, cfg, as_of) if check else ()
+            ended.append(FeedRun(name, failed_checks=failed))
+        except Exception as error:  # the other feeds go on; the caller sees what failed
+            ended.append(FeedRun(name, error=f"{type(error).__name__}: {error}"))
+    return ended
+
+
+def failed_checks(
+    spark: SparkSession, feed: Feed, target: str, cfg: Config | None = None, as_of: str | None = None
+) -> tuple[str, ...]:
+    """Checks of severity ``error`` that the staged table fails; one row per check."""
+    report = check_feed(spark, feed, target, cfg, as_of).where("severity = 'error' and failures > 0")
+    return tuple(f"{r['check']}({r['columns']})" for r in report.collect())
 
 
 def check_feed(

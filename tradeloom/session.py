@@ -5,10 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 
 def get_session(app: str = "tradeloom", cores: str = "*", **conf: str) -> SparkSession:
@@ -57,10 +61,32 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     Cuts the lineage, survives lost executors, and gives later joins the real
-    size of the data. The files stay, like checkpoint files, until the owner
-    of the folder removes them or the caller deletes ``path``.
+    size of the data. Inside ``staged_tables`` the files go when the block
+    ends; elsewhere they stay, like checkpoint files, until the owner of the
+    folder removes them.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, label)
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``stage`` writes inside the block, also after an error.
+
+    The shared folder is asked for at once, so that a cluster without one is
+    told before any work, whatever the size of the data.
+    """
+    shared_dir(spark)
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            delete_path(spark, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,10 +31,16 @@ class RawSource:
         return brand, store
 
 
+def matches(name: str, like: str) -> bool:
+    """LIKE on one name, in any case: ``%`` any characters, ``_`` one."""
+    pattern = "".join({"%": ".*", "_": "."}.get(c, re.escape(c)) for c in like.lower())
+    return re.fullmatch(pattern, name.lower(), re.S) is not None
+
+
 def discover_names(names: DataFrame, like: str, column: str = "name") -> DataFrame:
-    """Full names whose table part matches a case-insensitive LIKE pattern."""
+    """Full names whose table part matches a LIKE pattern, both in lower case."""
     table = F.lower(F.element_at(F.split(F.col(column), r"\."), 3))
-    return names.where(table.like(like)).select(
+    return names.where(table.like(like.lower())).select(
         F.col(column).alias("tables"), F.lower(F.col(column)).alias("tables_lowercase")
     )
 
@@ -42,11 +49,10 @@ def discover_tables(spark: SparkSession, like: str, schema: str | None = None) -
     """Catalog tables matching ``like``; the catalog decides the name's case."""
     schema = schema or spark.catalog.currentDatabase()
     catalog = spark.catalog.currentCatalog()
-    found = spark.catalog.listTables(schema, pattern=like.replace("%", "*"))
     return [
         RawSource(f"{catalog}.{schema}.{t.name}", table=f"{catalog}.{schema}.{t.name}")
-        for t in sorted(found, key=lambda t: t.name)
-        if not t.isTemporary
+        for t in sorted(spark.catalog.listTables(schema), key=lambda t: t.name)
+        if not t.isTemporary and matches(t.name, like)
     ]
 
 
@@ -58,11 +64,8 @@ def discover_paths(
     folder = jvm.org.apache.hadoop.fs.Path(root)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     listing = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-    if not listing:
-        return []
-    names = spark.createDataFrame([(f"{prefix}.{n}",) for n in sorted(listing)], "name string")
-    hits = [row.tables for row in discover_names(names, like).collect()]
-    return [RawSource(n, path=f"{root.rstrip('/')}/{n.split('.', 2)[2]}") for n in sorted(hits)]
+    hits = sorted(n for n in listing if matches(n, like))
+    return [RawSource(f"{prefix}.{n}", path=f"{root.rstrip('/')}/{n}") for n in hits]
 
 
 def tag_columns(name: Column | str, cfg: Config) -> tuple[Column, Column]:

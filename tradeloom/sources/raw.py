@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,8 @@ from tradeloom.sources.discovery import RawSource
 
 SOURCE_NO = "_source_no"
 OFFSET = "_offset_hours"
+_FOLDER = "_folder"
+_SCHEMA_READERS = 16
 
 
 def normalize_lineage(df: DataFrame, prefix: str) -> DataFrame:
@@ -23,13 +27,17 @@ def normalize_lineage(df: DataFrame, prefix: str) -> DataFrame:
     ``prefix`` is the connector's own word: with ``"conn"`` both
     ``conn_batch_id`` and ``_conn_batch_id`` become ``_batch_id``.
     """
-    present = {c.lower(): c for c in df.columns}
+    return df.withColumnsRenamed(_lineage_names(df.columns, prefix))
+
+
+def _lineage_names(columns: Sequence[str], prefix: str) -> dict[str, str]:
+    present = {c.lower(): c for c in columns} if prefix else {}
     renames = {}
     for name in LINEAGE:
         for spelling in (f"_{prefix}{name}", f"{prefix}{name}"):
             if spelling.lower() in present:
                 renames[present[spelling.lower()]] = name
-    return df.withColumnsRenamed(renames)
+    return renames
 
 
 def stamp(df: DataFrame, run_id: str) -> DataFrame:
@@ -64,7 +72,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         stored = have.get(field.name.lower())
         actual = stored.dataType if stored else None
         if isinstance(actual, T.StringType) and isinstance(field.dataType, T.ArrayType):
-            out.append(F.from_json(field.name, field.dataType).alias(field.name))
+            # Broken text must not pass for an empty array.
+            decoded = F.from_json(field.name, field.dataType, {"mode": "FAILFAST"})
+            out.append(decoded.alias(field.name))
         elif isinstance(field.dataType, T.TimestampNTZType) and actual not in (
             None,
             field.dataType,
@@ -88,18 +98,86 @@ def scan(spark: SparkSession, source: RawSource, schema: T.StructType, prefix: s
     elif source.table is not None:
         df = spark.table(source.table)
     else:
-        stored = spark.read.parquet(source.path)
-        spelled = {
-            new.lower(): old
-            for old, new in zip(stored.columns, _normalized(stored, prefix).columns)
-        }
-        wanted = T.StructType(
-            [T.StructField(spelled.get(f.name.lower(), f.name), f.dataType) for f in schema.fields]
-        )
-        df = spark.read.schema(clip(stored.schema, wanted)).parquet(source.path)
+        stored = spark.read.parquet(source.path).schema
+        df = spark.read.schema(_clipped(stored, schema, prefix)).parquet(source.path)
     return conform(_normalized(df, prefix), schema)
 
 
+def _clipped(stored: T.StructType, schema: T.StructType, prefix: str) -> T.StructType:
+    """The stored schema cut down to ``schema``, in the stored spelling."""
+    spelled = {new.lower(): old for old, new in _lineage_names(stored.names, prefix).items()}
+    spelled = {**{n.lower(): n for n in stored.names}, **spelled}
+    wanted = [T.StructField(spelled.get(f.name.lower(), f.name), f.dataType) for f in schema.fields]
+    return clip(stored, T.StructType(wanted))
+
+
+def _folder_name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def scan_folders(
+    spark: SparkSession,
+    sources: Sequence[RawSource],
+    schema: T.StructType,
+    tags: T.StructType,
+    values: Sequence[tuple],
+    since: int | None,
+    prefix: str = "",
+) -> list[DataFrame]:
+    """One scan for all folders of one stored schema, with ``tags`` per folder.
+
+    Schemas are looked up side by side. A row knows its folder from the path of
+    its file; the tags of the folders are a table with one row per folder.
+    Folders that lack a column in their files are read one by one.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    with ThreadPoolExecutor(min(len(sources), _SCHEMA_READERS)) as pool:
+        stored = list(pool.map(lambda s: reader.parquet(s.path).schema, sources))
+    groups: dict[str, list[int]] = {}
+    frames = []
+    for i, found in enumerate(stored):
+        have = {n.lower() for n in found.names} | {n.lower() for n in _lineage_names(found.names, prefix).values()}
+        if have >= {n.lower() for n in schema.names}:
+            groups.setdefault(found.json(), []).append(i)
+        else:
+            frames.append(_scan_tagged(spark, sources[i], schema, tags, values[i], since, prefix))
+    for members in groups.values():
+        clipped = _clipped(stored[members[0]], schema, prefix)
+        paths = [sources[i].path for i in members]
+        df = spark.read.option("recursiveFileLookup", "true").schema(clipped).parquet(*paths)
+        # partition folders below the raw folder are spelled key=value
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)/(?:[^/=]*=[^/]*/)*[^/]*$", 1)
+        df = df.withColumn(_FOLDER, folder)
+        if since is not None:
+            df = df.where(F.col(_lineage_spelling(clipped, prefix)) >= F.lit(since))
+        rows = [(_folder_name(sources[i].path), *values[i]) for i in members]
+        known = spark.createDataFrame(rows, T.StructType([T.StructField(_FOLDER, T.StringType()), *tags.fields]))
+        own = conform(_normalized(df, prefix), T.StructType([*schema.fields, T.StructField(_FOLDER, T.StringType())]))
+        frames.append(own.join(known, _FOLDER).select(*schema.names, *tags.names))
+    return frames
+
+
+def _scan_tagged(
+    spark: SparkSession,
+    source: RawSource,
+    schema: T.StructType,
+    tags: T.StructType,
+    values: tuple,
+    since: int | None,
+    prefix: str,
+) -> DataFrame:
+    df = scan(spark, source, schema, prefix)
+    if since is not None:
+        df = df.where(F.col(BATCH_RUNTIME) >= F.lit(since))
+    literals = zip(tags.names, values, strict=True)
+    return df.withColumns({name: F.lit(value) for name, value in literals})
+
+
+def _lineage_spelling(schema: T.StructType, prefix: str) -> str:
+    names = _lineage_names(schema.names, prefix)
+    return next((old for old, new in names.items() if new == BATCH_RUNTIME), BATCH_RUNTIME)
+
+
 def _normalized(df: DataFrame, prefix: str) -> DataFrame:
     return normalize_lineage(df, prefix) if prefix else df
 
@@ -124,26 +202,27 @@ def tagged_scan(
 ) -> DataFrame:
     """All sources in one frame, each row knowing brand, store and source.
 
+    Folders of one schema are one scan, however many they are.
     The source number lets one window serve every source at once. The
     look-back predicate is a literal on the raw column, so it reaches the
     Parquet row groups.
     """
-    frames = []
+    tags = T.StructType.fromDDL(f"brand string, store string, {SOURCE_NO} int, {OFFSET} int")
+    tagged = []
     for number, source in enumerate(sources):
-        df = scan(spark, source, schema, prefix)
-        if since is not None:
-            df = df.where(F.col(BATCH_RUNTIME) >= F.lit(since))
-        brand, store = source.brand_store(cfg)
         hours = cfg.offset_for(source.name) if tz_aware else 0
-        frames.append(
-            df.withColumns(
-                {
-                    "brand": F.lit(brand),
-                    "store": F.lit(store),
-                    SOURCE_NO: F.lit(number),
-                    OFFSET: F.lit(hours),
-                }
-            )
-        )
-    extra = T.StructType.fromDDL(f"brand string, store string, {SOURCE_NO} int, {OFFSET} int")
-    return consolidate(spark, frames, T.StructType(schema.fields + extra.fields))
+        tagged.append((source, (*source.brand_store(cfg), number, hours)))
+    plain = re.compile(r"[\w.-]+", re.ASCII)
+    folders = [t for t in tagged if t[0].path and plain.fullmatch(_folder_name(t[0].path))]
+    if len({_folder_name(s.path) for s, _ in folders}) < len(folders):
+        folders = []  # folders that share a name cannot be told apart by it
+    frames = []
+    if folders:
+        found, values = zip(*folders, strict=True)
+        frames = scan_folders(spark, found, schema, tags, values, since, prefix)
+    together = {values[2] for _, values in folders}
+    for source, values in tagged:
+        if values[2] in together:
+            continue
+        frames.append(_scan_tagged(spark, source, schema, tags, values, since, prefix))
+    return consolidate(spark, frames, T.StructType(schema.fields + tags.fields))
