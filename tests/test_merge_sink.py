@@ -4,7 +4,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tradeloom.operators import merge_into, merge_upsert, read_target, target_exists, write_full
+
+from tradeloom.operators import merge_into, merge_upsert, read_target, sink, target_exists, write_full
 from tradeloom.operators.sink import DAY, prune_snapshots
 
 D = datetime.datetime
@@ -61,6 +62,41 @@ def test_local_merge_rewrites_only_touched_days(spark, target, rows, tmp_path):
     assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 9), ("b", 1), ("z", 9)]
 
 
+def test_a_run_that_breaks_off_loses_nothing(spark, target, rows, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    merge_into(path, target, ["k"], partition_by="at")
+    source = frame(spark, [("a", D(2024, 5, 5), 7, 7), ("b", D(2024, 1, 2), 8, 8)])
+    real, calls = sink.recover, []
+
+    def breaks_before_the_move(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        return real(*args)
+
+    monkeypatch.setattr(sink, "recover", breaks_before_the_move)
+    with pytest.raises(RuntimeError):
+        merge_into(path, source, ["k"], partition_by="at")
+    assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 1), ("b", 1)]
+    # one day is moved, then the driver is lost again
+    os.rename(f"{path}/_journal/rows/{DAY}=2024-05-05", f"{path}/{DAY}=2024-05-05")
+    assert real(spark, path) and not real(spark, path)
+    assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 7), ("b", 8)]
+    # without the list of days a replacement is dropped
+    os.makedirs(f"{path}/_journal/rows/{DAY}=2024-01-02")
+    assert not real(spark, path) and read_target(spark, path).count() == 3
+
+
+def test_full_refresh_replaces_all_days(spark, target, rows, tmp_path):
+    path = f"{tmp_path}/t"
+    write_full(target, path, partition_by="at")
+    write_full(frame(spark, [("x", D(2024, 1, 2), 3, 3), ("y", None, 3, 3)]), path, partition_by="at")
+    assert rows(read_target(spark, path), "k", "v") == [("x", 3), ("y", 3)]
+    assert sorted(n for n in os.listdir(path) if n.startswith(DAY)) == [
+        f"{DAY}=2024-01-02", f"{DAY}=__HIVE_DEFAULT_PARTITION__"
+    ]
+
+
 def test_local_merge_of_a_missing_day_appends(spark, tmp_path, rows):
     path = f"{tmp_path}/t"
     lost = frame(spark, [("a", None, 1, 1)])
@@ -72,11 +108,15 @@ def test_local_merge_of_a_missing_day_appends(spark, tmp_path, rows):
 def test_match_in_another_day_moves_the_row(spark, target, rows, tmp_path):
     path = f"{tmp_path}/t"
     merge_into(path, target, ["k"], partition_by="at")
+    before = files(path)
     moved = frame(spark, [("a", D(2024, 5, 5), 7, 7)])
     merge_into(path, moved, ["k"], partition_by="at")
     stored = read_target(spark, path, keep_day=True)
     assert rows(stored, "k", "v") == [(None, 1), ("a", 7), ("b", 1)]
     assert {str(r[0]) for r in stored.select(DAY).collect()} == {"2024-01-02", "2024-01-03", "2024-05-05"}
+    after = files(path)
+    kept = {f for f in before if before[f] == after.get(f)}
+    assert len(kept) == 2 and not any("2024-01-01" in f or "2024-05-05" in f for f in kept)
 
 
 def test_unpartitioned_merge_keeps_snapshots_until_pruned(spark, target, rows, tmp_path):

@@ -43,6 +43,13 @@ def merge_upsert(
     return kept.unionByName(updated).unionByName(inserted)
 
 
+def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key some source row has."""
+    names = [f"_merge_key{i}" for i in range(len(keys))]
+    source_keys = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    return target.join(source_keys, _match(keys, names), "left_semi")
+
+
 def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     names = [f"_merge_key{i}" for i in range(len(keys))]
     return (

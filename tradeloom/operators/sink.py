@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom.operators.latest import keep_latest
-from tradeloom.operators.merge import duplicate_matches, merge_upsert, repeated_keys
+from tradeloom.operators.merge import duplicate_matches, matched_rows, merge_upsert, repeated_keys
 from tradeloom.session import delete_path
 
 DAY = "_day"
 _SNAPSHOT = "snapshot="
+_JOURNAL = "_journal"
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _children(spark: SparkSession, path: str) -> list[str] | None:
@@ -72,6 +80,48 @@ def clustered(df: DataFrame, cluster_by: Sequence[str], day: bool) -> DataFrame:
     return df.repartitionByRange(*columns, spread).sortWithinPartitions(*columns)
 
 
+def _day_folder(day) -> str:
+    return f"{DAY}={_NO_DAY if day is None else day.isoformat()}"
+
+
+def _put_days(df: DataFrame, path: str, days, partition_by: str, cluster_by: Sequence[str]) -> None:
+    """Replace ``days`` of the table at ``path`` by the rows of ``df``.
+
+    The new days are written beside the table first, then the list of all days
+    to be replaced. Only then are they moved into place, one by one. A run that
+    breaks off before loses nothing of the old table; one that breaks off later
+    is finished by the next call of ``recover``.
+    """
+    spark, journal = df.sparkSession, f"{path}/{_JOURNAL}"
+    delete_path(spark, journal)
+    _writer(df, partition_by, cluster_by).parquet(f"{journal}/rows")
+    written = {n for n in _children(spark, f"{journal}/rows") or [] if n.startswith(f"{DAY}=")}
+    listed = [(name, name in written) for name in {*map(_day_folder, days), *written}]
+    spark.createDataFrame(listed, "folder string, filled boolean").coalesce(1).write.parquet(f"{journal}/days")
+    recover(spark, path)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish or drop a replacement of days that broke off; True if finished."""
+    journal = f"{path}/{_JOURNAL}"
+    state = _children(spark, journal)
+    if state is None:
+        return False
+    complete = "_SUCCESS" in (_children(spark, f"{journal}/days") or [])
+    if complete:
+        fs = _filesystem(spark, path)
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for row in spark.read.parquet(f"{journal}/days").collect():  # one row per calendar day
+            new, old = at(f"{journal}/rows/{row['folder']}"), at(f"{path}/{row['folder']}")
+            waiting = fs.exists(new)
+            if waiting or not row["filled"]:
+                fs.delete(old, True)
+            if waiting and not fs.rename(new, old):
+                raise OSError(f"could not move {row['folder']} into place")
+    delete_path(spark, journal)
+    return complete
+
+
 def _writer(df: DataFrame, partition_by: str | None, cluster_by: Sequence[str]):
     if partition_by is None:
         return clustered(df, cluster_by, day=False).write
@@ -89,8 +139,16 @@ def write_full(
     """Replace the whole table.
 
     With ``snapshots`` the rows go to a new numbered folder that readers take
-    once it is complete; the folder read from is never written to.
+    once it is complete; the folder read from is never written to. Days of an
+    existing day-partitioned table stay until the new ones are complete.
     """
+    spark = df.sparkSession
+    if partition_by is not None and not snapshots and target_exists(spark, path):
+        names = [n for n in _children(spark, path) or [] if n.startswith(f"{DAY}=")]
+        values = [n.split("=", 1)[1] for n in names]
+        days = [None if v == _NO_DAY else date.fromisoformat(v) for v in values]
+        _put_days(df, path, days, partition_by, cluster_by)
+        return
     if snapshots:
         # A number is never used twice, not even after a failed write.
         used = [
@@ -124,8 +182,9 @@ def merge_into(
 ) -> None:
     """Merge ``source``, best a written table, into the table at ``path``.
 
-    When the partition column is a merge key, a match can only sit in a day
-    the source touches: only those days are read and rewritten, in place.
+    Of a day-partitioned table only the touched days are read and replaced:
+    the days of the source and, unless the partition column is a merge key,
+    the days of the target rows that match, found on the key columns alone.
     Otherwise the merged table goes to a new snapshot.
 
     Source rows that share a key with each other and with a target row have
@@ -133,9 +192,9 @@ def merge_into(
     keeps the newest source row per complete key by ``latest_by``.
     """
     spark = source.sparkSession
-    local = partition_by is not None and partition_by.lower() in {k.lower() for k in keys}
+    recover(spark, path)
     if not target_exists(spark, path):
-        write_full(source, path, partition_by, cluster_by, snapshots=not local)
+        write_full(source, path, partition_by, cluster_by, snapshots=partition_by is None)
         return
     if on_duplicate == "latest":
         complete = _all_present(keys)
@@ -147,9 +206,11 @@ def merge_into(
     if partition_by is not None:
         schema = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
     target = read_target(spark, path, schema, keep_day=True)
-    if local:
-        # One row per calendar day, so the list stays small.
-        days = [r[0] for r in source.select(F.to_date(partition_by)).distinct().collect()]
+    if partition_by is not None:
+        # One row per calendar day, so the lists stay small.
+        days = {r[0] for r in source.select(F.to_date(partition_by)).distinct().collect()}
+        if partition_by.lower() not in {k.lower() for k in keys}:
+            days |= {r[0] for r in matched_rows(target, source, keys).select(DAY).distinct().collect()}
         touched = F.col(DAY).isin([d for d in days if d is not None])
         if None in days:
             touched = touched | F.col(DAY).isNull()
@@ -160,12 +221,10 @@ def merge_into(
         if clash is not None:
             raise ValueError(f"several source rows match one target row: {clash.asDict()}")
     merged = merge_upsert(target, source, keys, exclude)
-    if not local:
+    if partition_by is None:
         write_full(merged, path, partition_by, cluster_by, snapshots=True)
-        return
-    _writer(merged, partition_by, cluster_by).mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
+    elif days:
+        _put_days(merged, path, days, partition_by, cluster_by)
 
 
 def _all_present(keys: Sequence[str]):

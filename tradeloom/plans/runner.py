@@ -32,6 +32,7 @@ from tradeloom.operators.sink import (
     merge_into,
     prune_snapshots,
     read_target,
+    recover,
     target_exists,
     write_full,
 )
@@ -264,9 +265,10 @@ def run_feed(
     """
     cfg = cfg or Config()
     with staged_tables(spark):
+        recover(spark, target)
         if full_refresh or not target_exists(spark, target):
             rows = build(spark, feed, sources, cfg, rates, None, prefix)
-            snapshots = not feed.partition_in_key
+            snapshots = feed.partition_by is None
             write_full(rows, target, feed.partition_by, feed.cluster_by, snapshots=snapshots)
             return
         clock = read_target(spark, target, T.StructType.fromDDL(LINEAGE_DDL))
@@ -283,7 +285,7 @@ def run_feed(
             on_duplicate,
             latest_by=(BATCH_RUNTIME, BATCH_ID),
         )
-    if not feed.partition_in_key:
+    if feed.partition_by is None:
         prune_snapshots(spark, target)
 
 
