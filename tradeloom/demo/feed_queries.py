@@ -294,7 +294,8 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def output_columns(name: str) -> list[str]:
     case = CASES[name]
-    columns = ["brand", "store", *case.filled]
+    marks = [n for n in raw.marked(feed(name)) if n not in case.filled]
+    columns = ["brand", "store", *case.filled, *marks]
     if case.fx_day:
         columns += ["exchange_currency_rate", "exchange_currency_code"]
     columns += LINEAGE
@@ -346,6 +347,7 @@ def feed_sql(name: str, batches: str = "TRUE") -> str:
         f'CAST(latest."{n}" AS STRING) AS "{n}"' if n in _DATES else f'latest."{n}"'
         for n in ("brand", "store", *case.filled, *LINEAGE)
     ]
+    columns += [f"'{n}' AS \"{n}\"" for n in raw.marked(feed(name)) if n not in case.filled]
     joins = ""
     if case.first_keys:
         columns.append(f"latest.{SEQ_ID}")

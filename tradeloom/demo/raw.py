@@ -10,6 +10,9 @@ raw tables (``key % 2``).
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -307,11 +310,22 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, RATES)
 
 
-def _fill(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add typed NULLs for the raw columns the test tables cannot fill."""
-    have = {c.lower() for c in df.columns}
+def marked(item: Feed) -> list[str]:
+    """Text columns of a flat feed that its raw rows lack; they hold their own name."""
+    if item.name not in FLAT:
+        return []
+    have = {n.lower() for n in re.findall(r"\bAS (\w+)", FLAT[item.name])}
+    plain = (c for c in item.columns if c.kind == "plain" and c.dtype == "string" and c.default is None)
+    return [c.name for c in plain if c.name.lower() not in have]
+
+
+def _fill(df: DataFrame, schema: T.StructType, marks: Iterable[str] = ()) -> DataFrame:
+    """Add the raw columns that the test tables cannot fill: their name or NULL."""
+    have, names = {c.lower() for c in df.columns}, {m.lower() for m in marks}
     missing = {
-        f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name.lower() not in have
+        f.name: F.lit(f.name if f.name.lower() in names else None).cast(f.dataType)
+        for f in schema.fields
+        if f.name.lower() not in have
     }
     return df.withColumns(missing)
 
@@ -585,7 +599,7 @@ def raw_frame(spark: SparkSession, sf_dir: str, item: Feed) -> DataFrame:
     else:
         df = _raw_events(spark, sf_dir, item)
     schema = T.StructType.fromDDL(item.raw_ddl)
-    return _fill(df, schema).select("src", *schema.names)
+    return _fill(df, schema, marked(item)).select("src", *schema.names)
 
 
 def sources(spark: SparkSession, sf_dir: str, name: str) -> list[RawSource]:
