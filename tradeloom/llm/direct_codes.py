@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import id_and_text, new_folder, open_for_reading, open_for_writing, stage, text_key
+from tradeloom.llm.common import id_and_text, new_folder, one_task_each, open_for_reading, open_for_writing, stage, text_key
 from tradeloom.llm.vocabulary import encoder
 
 MAGIC = b"TLDAC001"
@@ -213,7 +213,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "start", "n_tokens", "ids_crc32"])
 
-    return manifest.select("path", "start").repartition("path").mapInArrow(
+    return one_task_each(manifest.select("path", "start")).mapInArrow(
         run, "id long, start long, n_tokens long, ids_crc32 long"
     )
 

@@ -14,9 +14,10 @@ import re
 
 import numpy as np
 
-MAX_KNOWN = 400_000
-# A space at either end or with white space on both sides; covers double spaces.
-_ODD_SPACE = re.compile(r"\s \s|^ | $|  ")
+MAX_KNOWN = 800_000
+_LEARN_WORDS = 2000  # encoded in one string
+# A space between other white space; two spaces and those at an end count as well.
+_ODD_SPACE = re.compile(r"[^\S ] [^\S ]")
 
 
 def byte_of_character() -> dict[str, int]:
@@ -57,34 +58,40 @@ class Encoder:
                 self.lengths[i] = sum(1 for c in token if c in stand_in)
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype=np.uint32)
 
     def _is_plain(self, text: str) -> bool:
-        return self.by_word and not _ODD_SPACE.search(text) and not any(s in text for s in self.special)
+        if not self.by_word or "  " in text or text[:1] == " " or text[-1:] == " ":
+            return False
+        return not _ODD_SPACE.search(text) and not any(s in text for s in self.special)
 
     def _learn(self, words: set[str]) -> None:
         """Encode new words in one call and cut the ids at the words' byte lengths."""
-        odd = [w for w in words if w[0].isspace() or w[-1].isspace()]
+        odd = [w for w in words if w[:1].isspace() or w[-1:].isspace()]
         for word in odd:
             self.known[word] = self.whole(f" {word}").tobytes()
-        order = sorted(words.difference(odd))
+        order = list(words.difference(odd, [""]))
         if not order:
             return
-        ids = self.whole(" " + " ".join(order))
-        ends = np.cumsum([len(w.encode()) + 1 for w in order])
+        parts = [" " + " ".join(order[i : i + _LEARN_WORDS]) for i in range(0, len(order), _LEARN_WORDS)]
+        found = self.library.encode_batch_fast(parts, add_special_tokens=False)
+        ids = np.concatenate([np.array(f.ids, dtype=np.uint32) for f in found])
+        data = np.frombuffer("".join(parts).encode(), dtype=np.uint8)
+        ends = np.append(np.flatnonzero(data == 32)[1:], len(data))
         cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-        data, at = ids.tobytes(), 0
-        for word, cut in zip(order, (cuts * ids.itemsize).tolist(), strict=True):
-            self.known[word] = data[at:cut]
+        cut_at, packed, at = (cuts * ids.itemsize).tolist(), ids.tobytes(), 0
+        for word, cut in zip(order, cut_at, strict=True):
+            self.known[word] = packed[at:cut]
             at = cut
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.split(" ") if self._is_plain(t) else None for t in texts]
-        words = {w for s in split if s for w in s[1:]}
-        new = {w for w in words if w not in self.known}
+        words = set().union(*(s for s in split if s))
+        new = words.difference(self.known)
         if len(self.known) + len(new) > self.max_known:
-            self.known.clear()
-            new = words
+            # what these texts share with earlier ones stays
+            self.known = {w: self.known[w] for w in words.difference(new)}
         if new:
             self._learn(new)
         return [self._joined(t, s) for t, s in zip(texts, split, strict=True)]
