@@ -112,12 +112,13 @@ class CodeFile:
 
     def all_tokens(self) -> np.ndarray:
         """All ids, level by level."""
-        values = np.zeros(self.tokens, dtype=np.uint32)
-        where = np.arange(self.tokens)
+        values = self.levels[0][0].astype(np.uint32)
+        where = None  # positions that have a chunk on this level; None for all
         for level, (chunks, bitmap, _) in enumerate(self.levels):
-            values[where] |= chunks.astype(np.uint32) << np.uint32(8 * level)
-            goes_on = np.unpackbits(bitmap, count=len(chunks), bitorder="little").astype(bool)
-            where = where[goes_on]
+            if level:
+                values[where] |= chunks.astype(np.uint32) << np.uint32(8 * level)
+            goes_on = np.flatnonzero(np.unpackbits(bitmap, count=len(chunks), bitorder="little"))
+            where = goes_on if where is None else where[goes_on]
         return values
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
@@ -207,7 +208,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 with open_for_reading(path) as f:
                     rows = [
-                        (key, start + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+                        (key, start + at, len(ids), zlib.crc32(ids.astype("<u4", copy=False)))
                         for key, at, ids in CodeFile(f.read()).documents()
                     ]
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]

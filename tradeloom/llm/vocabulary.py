@@ -14,8 +14,10 @@ import re
 
 import numpy as np
 
-MAX_KNOWN = 800_000
+MAX_KNOWN = 1_500_000
 _LEARN_WORDS = 2000  # encoded in one string
+_MARKS = ".,;:!?"
+_LATIN_END = "\u0250"  # letters and digits below are old enough for every library
 # A space between other white space; two spaces and those at an end count as well.
 _ODD_SPACE = re.compile(r"[^\S ] [^\S ]")
 
@@ -29,6 +31,10 @@ def byte_of_character() -> dict[str, int]:
     return table
 
 
+def _edged(word: str) -> bool:
+    return word[:1].isspace() or word[-1:].isspace()
+
+
 class Encoder:
     """Ids of whole texts, as ``encode(text, add_special_tokens=False)`` gives them."""
 
@@ -51,6 +57,8 @@ class Encoder:
         )
         self.max_known = max_known
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.edged: dict[str, bytes] = {}
         if self.by_word:
             stand_in = byte_of_character()
             self.lengths = np.zeros(self.library.get_vocab_size(), dtype=np.int64)
@@ -61,17 +69,37 @@ class Encoder:
         (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, dtype=np.uint32)
 
-    def _is_plain(self, text: str) -> bool:
+    def _words(self, text: str) -> list[str] | None:
         if not self.by_word or "  " in text or text[:1] == " " or text[-1:] == " ":
-            return False
-        return not _ODD_SPACE.search(text) and not any(s in text for s in self.special)
+            return None
+        return None if any(s in text for s in self.special) else text.split(" ")
 
     def _learn(self, words: set[str]) -> None:
-        """Encode new words in one call and cut the ids at the words' byte lengths."""
-        odd = [w for w in words if w[:1].isspace() or w[-1:].isspace()]
-        for word in odd:
-            self.known[word] = self.whole(f" {word}").tobytes()
-        order = list(words.difference(odd, [""]))
+        """Encode new words in one call and cut the ids at the words' byte lengths.
+
+        Sentence marks after a letter or digit are a piece of their own, so a
+        word with marks is the word followed by the marks. Words with white
+        space at an end are kept apart: they are looked at again in every text.
+        """
+        self.edged = {w: self.whole(f" {w}").tobytes() for w in words if _edged(w)}
+        marked: list[tuple[str, str]] = []
+        plain: set[str] = set()
+        for word in words.difference(self.edged, [""]):
+            core = word.rstrip(_MARKS)
+            if core is not word and core and core[-1] < _LATIN_END and core[-1].isalnum():
+                marked.append((word, core))
+                if core not in self.known:
+                    plain.add(core)
+            else:
+                plain.add(word)
+        self._learn_plain(list(plain))
+        for word, core in marked:
+            marks = word[len(core) :]
+            if marks not in self.marks:
+                self.marks[marks] = self.whole(marks).tobytes()
+            self.known[word] = self.known[core] + self.marks[marks]
+
+    def _learn_plain(self, order: list[str]) -> None:
         if not order:
             return
         parts = [" " + " ".join(order[i : i + _LEARN_WORDS]) for i in range(0, len(order), _LEARN_WORDS)]
@@ -80,27 +108,42 @@ class Encoder:
         data = np.frombuffer("".join(parts).encode(), dtype=np.uint8)
         ends = np.append(np.flatnonzero(data == 32)[1:], len(data))
         cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-        cut_at, packed, at = (cuts * ids.itemsize).tolist(), ids.tobytes(), 0
-        for word, cut in zip(order, cut_at, strict=True):
+        packed, at = ids.tobytes(), 0
+        for word, cut in zip(order, (cuts * ids.itemsize).tolist(), strict=True):
             self.known[word] = packed[at:cut]
             at = cut
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.split(" ") if self._is_plain(t) else None for t in texts]
-        words = set().union(*(s for s in split if s))
-        new = words.difference(self.known)
+        split = [self._words(t) for t in texts]
+        found = [list(map(self.known.get, s)) if s else None for s in split]
+        new: set[str] = set()
+        for i, (words, ids) in enumerate(zip(split, found, strict=True)):
+            if words is None or None not in ids:
+                continue
+            missing = [w for w, x in zip(words, ids, strict=True) if x is None]
+            if any(map(_edged, missing)) and _ODD_SPACE.search(texts[i]):
+                split[i] = None
+            else:
+                new.update(missing)
         if len(self.known) + len(new) > self.max_known:
             # what these texts share with earlier ones stays
+            words = set().union(*(s for s in split if s))
             self.known = {w: self.known[w] for w in words.difference(new)}
         if new:
             self._learn(new)
-        return [self._joined(t, s) for t, s in zip(texts, split, strict=True)]
+        return [self._joined(*x) for x in zip(texts, split, found, strict=True)]
 
-    def _joined(self, text: str, words: list[str] | None) -> np.ndarray:
+    def _joined(self, text: str, words: list[str] | None, found: list[bytes | None] | None) -> np.ndarray:
         if words is None:
             return self.whole(text)
-        rest = np.frombuffer(b"".join(map(self.known.__getitem__, words[1:])), dtype=np.uint32)
-        return np.concatenate([self.whole(words[0]), rest])
+        rest = found[1:]
+        if None in rest:
+            known, edged = self.known, self.edged
+            rest = [
+                i if i is not None else known[w] if w in known else edged[w]
+                for w, i in zip(words[1:], rest, strict=True)
+            ]
+        return np.concatenate([self.whole(words[0]), np.frombuffer(b"".join(rest), dtype=np.uint32)])
 
 
 _ENCODERS: dict[str, Encoder] = {}
