@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-MAX_KNOWN = 1_500_000
+MAX_KNOWN = 1_000_000
 _LEARN_WORDS = 2000  # encoded in one string
 _MARKS = ".,;:!?"
 _LATIN_END = "\u0250"  # letters and digits below are old enough for every library
