@@ -193,6 +193,15 @@ def _inputs(docs: DataFrame, id_col: str, text_col: str, length_col: str | None)
     )
 
 
+def _rows_of(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as views into its memory."""
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        flat, ends = chunk.flatten().to_numpy(), np.cumsum(chunk.value_lengths().to_numpy())
+        out += np.split(flat, ends[:-1]) if len(ends) else []
+    return out
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -231,8 +240,7 @@ def train(
 
     vectors = rows.mapInArrow(run, "id long, key long, label int, ids array<int>, values array<float>")
     sample = vectors.orderBy(F.xxhash64("id"), "id", "key", "label").limit(max_rows).toArrow()
-    ids, values = sample.column("ids").to_pylist(), sample.column("values").to_pylist()
-    pairs = [(np.array(i, np.int32), np.array(v, np.float32)) for i, v in zip(ids, values, strict=True)]
+    pairs = list(zip(_rows_of(sample.column("ids")), _rows_of(sample.column("values")), strict=True))
     return fit(pairs, np.array(sample.column("label").to_pylist(), dtype=np.float64))
 
 
