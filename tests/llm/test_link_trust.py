@@ -103,3 +103,29 @@ def test_odd_rows(spark):
     assert sorted((str(r.id), r.verdict) for r in got) == [("1", "allow"), ("1", "allow"), ("2", "block"), ("None", "allow")]
     assert [tuple(r) for r in host_links(pages).collect()] == [("a.net", "b.com")]
     assert judge_urls(pages.where("false"), RULES).count() == 0
+
+
+def test_mass_reaches_the_end_of_a_chain(spark):
+    def site(kind, i):
+        return f"{kind}{i}.com"
+
+    pages = [(1, "https://seed.org/fr/a", linked(f"https://{site('t', 1)}/")), (2, "https://seed.net/a", None)]
+    pages += [(100 + i, f"https://{site('t', i)}/", linked(f"https://{site('t', i + 1)}/")) for i in range(1, 31)]
+    pages += [(200 + i, f"https://{site('d', i)}/", linked(f"https://{site('d', i - 1) if i > 1 else 'seed.net'}/")) for i in range(1, 31)]
+    got = {r.id: r for r in judge_urls(spark.createDataFrame(pages, PAGES), RULES).collect()}
+    for i in range(1, 31):
+        far = 0.15 * 0.85**i  # the run to convergence
+        assert [got[100 + i].trust, got[200 + i].distrust] == pytest.approx([far, far])
+        assert (got[100 + i].verdict, got[200 + i].verdict) == ("allow", "block")
+
+
+def test_scores_at_convergence(spark):
+    links = sorted({(f"h{i}", f"h{(i * i + k) % 17}") for i in range(17) for k in range(1 + i % 4) if i != (i * i + k) % 17})
+    seeds = [("trust", "h1"), ("trust", "h4"), ("distrust", "h9")]
+    seeded, linking = spark.createDataFrame(seeds, "kind string, host string"), spark.createDataFrame(links, "src string, dst string")
+    got = host_scores(seeded, linking, damping=0.5)
+    want = plain_scores(seeds, links, 400, 0.5)
+    rows = got.collect()
+    assert {r.host for r in rows} == set(want)
+    for r in rows:
+        assert [r.trust, r.distrust] == pytest.approx([want[r.host].get(k, 0) for k in ("trust", "distrust")], rel=2e-5)

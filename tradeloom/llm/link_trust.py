@@ -20,7 +20,9 @@ from tradeloom.llm.common import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
-ROUNDS = 12
+ROUNDS = 12  # of the check SQL
+LOOK_EVERY = 4  # rounds between looks for convergence
+TOLERANCE = 1e-6  # largest change of a host's mass, as a share of its mass
 MAX_DISTRUST = 0.5  # share of distrust in trust and distrust
 # The host of an absolute or protocol-relative link of an anchor or area.
 LINK = r"""(?i)<a(?:rea)?\s(?:[^>]*?\s)?href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'<>\s]+)"""
@@ -87,25 +89,46 @@ def _shares(links: DataFrame) -> DataFrame:
     return ways.join(degrees, ["kind", "at"])
 
 
+def _changed(before: DataFrame, after: DataFrame, tolerance: float) -> bool:
+    """Whether a host is new or gone, or its mass changed by more than a share of it."""
+    old = before.select("kind", "at", F.col("mass").alias("old"))
+    both = old.join(after, ["kind", "at"], "full")
+    moved = F.abs(F.col("mass") - F.col("old")) > tolerance * F.col("mass")
+    return bool(both.agg(F.max(F.coalesce(moved, F.lit(True)))).first()[0])
+
+
 def host_scores(
-    seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING
+    seeds: DataFrame,
+    links: DataFrame,
+    rounds: int | None = None,
+    damping: float = DAMPING,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``(host, trust, distrust)`` of all hosts that either kind of mass reaches.
 
     ``seeds``: different ``(kind, host)``, kind ``trust`` or ``distrust``. The
     mass of a kind is 1 in all. Each round is one join and one sum over both
-    kinds, written as a table, so a lost executor costs one round.
+    kinds, written as a table, so a lost executor costs one round. Rounds go
+    on until no host is new or gone and none changes by more than
+    ``tolerance`` of its own mass; one row a look reaches the driver. The
+    changes shrink by ``damping`` a round at least, so this ends. ``rounds``
+    asks for a fixed number instead.
     """
     shares = stage(_shares(links), "shares")
     counts = seeds.groupBy("kind").agg((1 / F.count("*")).alias("mass"))
     start = stage(seeds.join(F.broadcast(counts), "kind").select("kind", F.col("host").alias("at"), "mass"), "seeds")
     mass = start
-    for _ in range(rounds):
+    done = 0
+    while rounds is None or done < rounds:
         moved = mass.join(shares, ["kind", "at"]).select(
             "kind", F.col("to").alias("at"), (F.col("mass") * F.col("share") * damping).alias("mass")
         )
         back = start.select("kind", "at", (F.col("mass") * (1 - damping)).alias("mass"))
+        before = mass
         mass = stage(moved.union(back).groupBy("kind", "at").agg(F.sum("mass").alias("mass")), "mass")
+        done += 1
+        if rounds is None and done % LOOK_EVERY == 0 and not _changed(before, mass, tolerance):
+            break
 
     def of(kind: str) -> Column:
         return F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)).alias(kind)
@@ -119,7 +142,7 @@ def judge_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     max_distrust: float = MAX_DISTRUST,
 ) -> DataFrame:
     """``(id, host, path, rule, verdict, trust, distrust)`` per row of ``pages``.
