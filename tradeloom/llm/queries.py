@@ -20,7 +20,7 @@ from tradeloom.llm.prefix_counts import prefix_tables
 from tradeloom.llm.qgram_filter import find_passages
 from tradeloom.llm.simhash_pivots import near_duplicates
 from tradeloom.llm.site_templates import extract
-
+from tradeloom.llm.turn_repair import damaged, digests, repair, turns_of
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -117,6 +117,20 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turns_of(read_table(spark, sf_dir, "conversations"))
+    found = repair(damaged(turns))
+    key = ["none", "conv"]
+    rows = turns.select(*key).distinct().join(found.conversations, key, "left").join(digests(found.rows), key, "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return rows.select(
+        F.when(~F.col("none"), F.col("conv")).alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_templates": op1_site_templates,
     "op2_link_trust": op2_link_trust,
@@ -128,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_direct_codes": op8_direct_codes,
     "op9_pivotal_mix": op9_pivotal_mix,
     "op10_simhash_pivots": op10_simhash_pivots,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 SQL: dict[str, str] = {
