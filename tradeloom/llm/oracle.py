@@ -129,3 +129,31 @@ def link_trust_sql(rules: list[link_trust.Rule]) -> str:
         THEN 'block' ELSE 'allow' END) AS verdict
     FROM ruled LEFT JOIN scores ON ruled.host = scores.node
     """
+
+
+def lexical_search_sql(top: int = 20) -> str:
+    """Scores of all documents that share a term with an item."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    terms = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{pattern}')"
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS ts FROM documents),
+    lengths AS (SELECT r, doc_id, len(ts) AS n FROM d WHERE len(ts) > 0),
+    s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+    asked AS (SELECT row_number() OVER () AS i, item_id, {terms} AS ts
+              FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    q AS (SELECT i, term, count(*) AS k FROM (SELECT i, unnest(ts) AS term FROM asked) GROUP BY ALL),
+    tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d)
+           WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+          FROM tf, s GROUP BY term, docs),
+    m AS (SELECT r, doc_id, 100 - 25 + ((25 * n * docs) // words) AS m FROM lengths, s),
+    scored AS (
+        SELECT i, r, doc_id, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+        FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL),
+    ranked AS (
+        SELECT i, doc_id, score,
+               row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+        FROM scored WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN asked USING (i) WHERE rank <= {top}
+    """
