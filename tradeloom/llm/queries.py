@@ -13,13 +13,15 @@ from tradeloom.llm.common import read_table
 from tradeloom.llm.direct_codes import tokens_on_disk
 from tradeloom.llm.factor_machine import ACCEPT, is_held_out, score, train
 from tradeloom.llm.host_rules import judge
+from tradeloom.llm import log_bilinear
 from tradeloom.llm.link_trust import Rule, judge_urls
-from tradeloom.llm.oracle import archives_sql, host_rules_sql, link_trust_sql
+from tradeloom.llm.oracle import archives_sql, host_rules_sql, lexical_search_sql, link_trust_sql
 from tradeloom.llm.pivotal import mix
 from tradeloom.llm.prefix_counts import prefix_tables
 from tradeloom.llm.qgram_filter import find_passages
 from tradeloom.llm.simhash_pivots import near_duplicates
 from tradeloom.llm.site_templates import extract
+from tradeloom.llm.term_tree import search
 from tradeloom.llm.turn_repair import damaged, digests, repair, turns_of
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -117,6 +119,15 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_term_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op12_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_bilinear.score(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = turns_of(read_table(spark, sf_dir, "conversations"))
     found = repair(damaged(turns))
@@ -142,6 +153,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_direct_codes": op8_direct_codes,
     "op9_pivotal_mix": op9_pivotal_mix,
     "op10_simhash_pivots": op10_simhash_pivots,
+    "op11_term_tree": op11_term_tree,
+    "op12_log_bilinear": op12_log_bilinear,
     "op13_turn_repair": op13_turn_repair,
 }
 
@@ -149,4 +162,5 @@ SQL: dict[str, str] = {
     "op2_link_trust": link_trust_sql(RULES),
     "op3_arc_to_warc": archives_sql(),
     "op5_host_rules": host_rules_sql(),
+    "op11_term_tree": lexical_search_sql(),
 }
