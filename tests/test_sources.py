@@ -107,6 +107,35 @@ def test_folders_of_one_schema_are_one_scan(spark, tmp_path):
     assert len({r._source_no for r in df.collect()}) == 13
 
 
+def test_folders_by_their_files_paths(spark, tmp_path):
+    """Names that begin alike, blanks, equal names in different places, and one folder twice."""
+    lineage = "1L AS _user_id, 5L AS _batch_runtime, 6L AS _batch_id"
+    names = ["A_S_x", "A_S_x-1", "A_S_x_2", "A_S_x y", "A_S_xé", "other/A_S_x", "A_S_x.z"]
+    for name in names:
+        spark.sql(f"SELECT '{name}' AS a, {lineage}").write.parquet(f"{tmp_path}/{name}")
+    schema = T.StructType.fromDDL("a string, _user_id bigint, _batch_runtime bigint, _batch_id bigint")
+    sources = [RawSource(f"r.l.B{i}_S_x", path=f"{tmp_path}/{name}") for i, name in enumerate(names)]
+    df = tagged_scan(spark, sources, schema, Config(), False, None)
+    assert {(r.brand, r.a) for r in df.collect()} == {(f"B{i}", name) for i, name in enumerate(names)}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("FileScan parquet") == 1
+    twice = [*sources, RawSource("r.l.In_S_x", path=f"{tmp_path}/other/A_S_x")]
+    got = {(r.brand, r.a) for r in tagged_scan(spark, twice, schema, Config(), False, None).collect()}
+    assert ("In", "other/A_S_x") in got and ("B5", "other/A_S_x") in got
+
+
+def test_hundreds_of_folders_need_no_join(spark, tmp_path):
+    lineage = "1L AS _user_id, 5L AS _batch_runtime, 6L AS _batch_id"
+    spark.range(200).selectExpr("id AS a", *lineage.split(", "), "concat('B', id) AS t").repartition(8).write.partitionBy("t").parquet(f"{tmp_path}/all")
+    schema = T.StructType.fromDDL("a bigint, _user_id bigint, _batch_runtime bigint, _batch_id bigint")
+    sources = [RawSource(f"r.l.B{i}_S_x", path=f"{tmp_path}/all/t=B{i}") for i in range(200)]
+    df = tagged_scan(spark, sources, schema, Config(), False, None)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("FileScan parquet") == 1
+    got = df.select("brand", "a", "_source_no").collect()
+    assert sorted((r.brand, r.a, r._source_no) for r in got) == sorted((f"B{i}", i, i) for i in range(200))
+
+
 def test_like_on_names():
     assert matches("Acme_US_ListOrder", "%listorder") and matches("aXb", "A_B") and not matches("ab", "a_b")
     assert not matches("a.b", "a_") and matches("a%b", "a%b")

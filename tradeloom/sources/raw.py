@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,8 +111,34 @@ def _clipped(stored: T.StructType, schema: T.StructType, prefix: str) -> T.Struc
     return clip(stored, T.StructType(wanted))
 
 
-def _folder_name(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[-1]
+def _folder_uris(spark: SparkSession, sources: Sequence[RawSource]) -> list[str]:
+    """The folders as the paths of their files begin."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    uris = []
+    for source in sources:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source.path)
+        uri = folder.getFileSystem(conf).makeQualified(folder).toUri().toString().rstrip("/") + "/"
+        uris.append(re.sub(r"^(\w+):///", r"\1:/", uri))  # the reader leaves an empty authority out
+    return uris
+
+
+def _apart(uris: Sequence[str]) -> bool:
+    """Whether no folder is another one or lies in it."""
+    ordered = sorted(uris)
+    return not any(b.startswith(a) for a, b in zip(ordered, ordered[1:]))
+
+
+def _place_of(path: Column, folders: Sequence[tuple[str, int]]) -> Column:
+    """The number of the folder that holds a file: a binary search among literals.
+
+    ``folders`` are sorted. Of folders that lie apart, a file's is the last one
+    that is not after its path.
+    """
+    if len(folders) == 1:
+        return F.lit(folders[0][1])
+    half = len(folders) // 2
+    after = _place_of(path, folders[half:])
+    return F.when(path >= F.lit(folders[half][0]), after).otherwise(_place_of(path, folders[:half]))
 
 
 def scan_folders(
@@ -127,12 +153,15 @@ def scan_folders(
     """One scan for all folders of one stored schema, with ``tags`` per folder.
 
     Schemas are looked up side by side. A row knows its folder from the path of
-    its file; the tags of the folders are a table with one row per folder.
-    Folders that lack a column in their files are read one by one.
+    its file, which is a constant of the file: a few comparisons with literals
+    find the folder's place, and its tags are taken from arrays of literals. No
+    folder may lie in another one. Folders that lack a column in their files
+    are read one by one.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     with ThreadPoolExecutor(min(len(sources), _SCHEMA_READERS)) as pool:
         stored = list(pool.map(lambda s: reader.parquet(s.path).schema, sources))
+    uris = _folder_uris(spark, sources)
     groups: dict[str, list[int]] = {}
     frames = []
     for i, found in enumerate(stored):
@@ -145,18 +174,24 @@ def scan_folders(
         clipped = _clipped(stored[members[0]], schema, prefix)
         paths = [sources[i].path for i in members]
         df = spark.read.option("recursiveFileLookup", "true").schema(clipped).parquet(*paths)
-        # partition folders below the raw folder are spelled key=value
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)/(?:[^/=]*=[^/]*/)*[^/]*$", 1)
-        df = df.withColumn(_FOLDER, folder)
+        folders = sorted((uris[i], at) for at, i in enumerate(members, 1))
+        df = df.withColumn(_FOLDER, _place_of(F.col("_metadata.file_path"), folders))
         if since is not None:
             df = df.where(F.col(_lineage_spelling(clipped, prefix)) >= F.lit(since))
-        rows = [(_folder_name(sources[i].path), *values[i]) for i in members]
-        known = spark.createDataFrame(rows, T.StructType([T.StructField(_FOLDER, T.StringType()), *tags.fields]))
-        own = conform(_normalized(df, prefix), T.StructType([*schema.fields, T.StructField(_FOLDER, T.StringType())]))
-        frames.append(own.join(known, _FOLDER).select(*schema.names, *tags.names))
+        own = conform(_normalized(df, prefix), T.StructType([*schema.fields, T.StructField(_FOLDER, T.IntegerType())]))
+        rows = [values[i] for i in members]
+        tagged = {tag.name: _tag(tag, [row[k] for row in rows]) for k, tag in enumerate(tags.fields)}
+        frames.append(own.withColumns(tagged).drop(_FOLDER))
     return frames
 
 
+def _tag(tag: T.StructField, values: Sequence) -> Column:
+    """The value of a row's folder; one literal where all folders share it."""
+    if len(set(values)) == 1:
+        return F.lit(values[0]).cast(tag.dataType)
+    return F.get(F.array(*map(F.lit, values)), F.col(_FOLDER) - 1).cast(tag.dataType)
+
+
 def _scan_tagged(
     spark: SparkSession,
     source: RawSource,
@@ -212,10 +247,9 @@ def tagged_scan(
     for number, source in enumerate(sources):
         hours = cfg.offset_for(source.name) if tz_aware else 0
         tagged.append((source, (*source.brand_store(cfg), number, hours)))
-    plain = re.compile(r"[\w.-]+", re.ASCII)
-    folders = [t for t in tagged if t[0].path and plain.fullmatch(_folder_name(t[0].path))]
-    if len({_folder_name(s.path) for s, _ in folders}) < len(folders):
-        folders = []  # folders that share a name cannot be told apart by it
+    folders = [t for t in tagged if t[0].path]
+    if not _apart(_folder_uris(spark, [s for s, _ in folders])):
+        folders = []  # a file in two folders would be read twice by one scan
     frames = []
     if folders:
         found, values = zip(*folders, strict=True)
