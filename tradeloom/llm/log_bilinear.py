@@ -98,7 +98,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
 class Vocabulary:
     """What every task knows of the training texts.
 
-    ``place`` numbers the frequent words by falling count; per number ``symbol``
+    ``place`` numbers the frequent words by falling count, those of one level of
+    counts all or none; per number ``symbol``
     and ``counts``; ``mass`` is the smoothed count of every class.
     """
 
@@ -115,6 +116,19 @@ class Vocabulary:
         return len(self.noise)
 
 
+def _least_count(counts: DataFrame, most: int) -> int:
+    """The least count that at most ``most`` words reach, up to a few percent of the count."""
+    level = F.floor(F.log2("n") * 16).alias("level")
+    levels = counts.groupBy(level).agg(F.count("*").alias("words"), F.min("n").alias("least")).toArrow()
+    least, words = 1 << 62, 0
+    for row in sorted(levels.to_pylist(), key=lambda r: -r["level"]):  # a row per level
+        words += row["words"]
+        if words > most:
+            break
+        least = row["least"]
+    return least
+
+
 def vocabulary(counts: DataFrame, head: int = HEAD, words: int = WORDS) -> Vocabulary:
     tokens, types = counts.agg(F.sum("n"), F.count("*")).first()
     suffix = F.substring("word", -SUFFIX, SUFFIX)
@@ -122,8 +136,9 @@ def vocabulary(counts: DataFrame, head: int = HEAD, words: int = WORDS) -> Vocab
     per_class = classes.agg(F.sum("n").alias("n"), F.count("*").alias("types")).toArrow()  # a row per class
     totals = np.zeros((2, CLASSES))
     totals[:, per_class["class"].to_numpy()] = per_class["n"].to_numpy(), per_class["types"].to_numpy()
-    found = counts.orderBy(F.col("n").desc(), "word").limit(head).toArrow()  # head words at most
-    listed, numbers = found["word"].to_pylist(), found["n"].to_numpy().astype(np.int64)
+    found = counts.where(F.col("n") >= _least_count(counts, head)).toArrow()  # head words at most
+    found = sorted(zip(found["n"].to_pylist(), found["word"].to_pylist(), strict=True), key=lambda r: (-r[0], r[1]))
+    listed, numbers = [w for _, w in found], np.array([n for n, _ in found], np.int64)
     if END_WORD not in listed:  # the end has a number in any case
         ends = counts.where(F.length("word") == 0).first()
         listed, numbers = [*listed, END_WORD], np.append(numbers, ends["n"] if ends else 0)
