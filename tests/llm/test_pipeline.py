@@ -5,8 +5,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from test_near_copies import brute_kept
 from test_pivotal import WORD, plain_targets
-from test_simhash_pivots import brute_components, brute_fingerprint
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -39,8 +39,8 @@ def test_filters(spark, steps):
     want = [r for r in raw.collect() if machine.score(*features.of(r.text, r.n_chars)) >= 0.3]
     assert rows(good) == sorted(map(tuple, want), key=str) and 0 < len(want) < raw.count()
 
-    items = [(r.doc_id, brute_fingerprint(r.text)) for r in want]
-    first = [r for r, c in zip(want, brute_components(items), strict=True) if r.doc_id == c]
+    kept = brute_kept([(r.doc_id, r.text) for r in want])
+    first = [r for r in want if r.doc_id in kept]
     assert rows(distinct) == sorted(map(tuple, first), key=str) and len(first) < len(want)
 
     passages = [normal(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

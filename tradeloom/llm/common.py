@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import zlib
 from collections.abc import Iterator
 
@@ -21,6 +23,7 @@ __all__ = [
     "open_for_reading",
     "open_for_writing",
     "read_table",
+    "release_memory",
     "stage",
     "text_key",
     "text_slices",
@@ -89,7 +92,16 @@ def word_blocks(data: bytes):
         yield words
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+def release_memory() -> None:
+    """Give back what the allocators of a Python worker keep after large texts."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str | int) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a bounded number of bytes; a longer text is one slice."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

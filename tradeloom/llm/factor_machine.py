@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import text_key, word_blocks
+from tradeloom.llm.common import release_memory, text_key, text_slices, word_blocks
 
 WORD_BITS = 14
 RANK = 8
@@ -282,10 +282,11 @@ def keep_good(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, model = Features(), shared.value
-        for batch in batches:
+        for batch in text_slices(batches, text_at):
             texts = batch.column(text_at).to_pylist()
             lengths = batch.column(length_at).to_pylist() if length_at is not None else [None] * len(texts)
             good = [model.score(*features.of(t, n)) >= accept for t, n in zip(texts, lengths, strict=True)]
             yield batch.filter(pa.array(good, pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import id_and_text
+from tradeloom.llm.common import id_and_text, release_memory, text_slices
 
 Q = 8
 EDIT_RATE = 0.1
@@ -357,8 +357,9 @@ def drop_contaminated(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(items.value, q, rate)
-        for batch in batches:
+        for batch in text_slices(batches, at):
             found = index.find_all(batch.column(at).to_pylist())
             yield batch.filter(pa.array([not regions for regions in found], pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
