@@ -1,3 +1,4 @@
+import contextlib
 import datetime
 import os
 
@@ -5,7 +6,20 @@ import pytest
 from pyspark.sql import functions as F
 
 
-from tradeloom.operators import merge_into, merge_upsert, read_target, sink, target_exists, write_full
+from tradeloom.operators import (
+    footer_watermark,
+    loaded_at,
+    max_loaded,
+    merge_bucketed,
+    merge_into,
+    merge_upsert,
+    prune_versions,
+    read_target,
+    sink,
+    target_exists,
+    write_bucketed,
+    write_full,
+)
 from tradeloom.operators.sink import DAY, prune_snapshots
 
 D = datetime.datetime
@@ -179,3 +193,66 @@ def test_hot_day_is_split_into_sorted_files(spark, tmp_path):
         values = [r.c for r in spark.read.parquet(name).coalesce(1).select("c").collect()]
         assert values == sorted(values)
     assert read_target(spark, path).count() == 60_000
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_is_one_join(spark, rows):
+    target = spark.createDataFrame([(i, None if i % 9 == 0 else i, "t") for i in range(500)], "at int, k int, v string")
+    source = spark.createDataFrame([(i, None if i % 7 == 0 else 2 * i, "s") for i in range(500)], "at int, K int, v string")
+    merged = merge_upsert(target, source, ["k"], exclude=["at"])
+    plan = _plan(merged)
+    assert plan.count("Join ") == 1 and plan.count("Exchange hashpartitioning") == 2
+    new = {2 * i: i for i in range(500) if i % 7}
+    want = [(i, i, "s" if i in new else "t") for i in range(500) if i % 9]
+    want += [(i, None, "t") for i in range(500) if i % 9 == 0] + [(i, None, "s") for i in range(500) if i % 7 == 0]
+    old = {i for i in range(500) if i % 9}
+    want += [(i, k, "s") for k, i in new.items() if k not in old]
+    got = [(r.at, r.k, r.v) for r in merged.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    with pytest.raises(ValueError, match="differ in the columns"):
+        merge_upsert(target, source.drop("v"), ["k"])
+
+
+def test_bucketed_target_is_not_shuffled(spark, rows, tmp_path):
+    name, folder = "bucketed_t", str(tmp_path)
+    target = spark.createDataFrame([(f"k{i}", i, "t") for i in range(300)] + [(None, 1, "t")], "k string, d int, v string")
+    write_bucketed(target, name, ["k", "d"], 4, folder)
+    source = spark.createDataFrame([(f"k{i}", i, "s") for i in range(200, 400)] + [(None, 1, "s")], "k string, d int, v string")
+    with spark_conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        plan = _plan(merge_upsert(spark.table(name), source, ["k", "d"]))
+    assert "Bucketed: true" in plan and plan.count("Exchange ") == 1 and "Exchange hashpartitioning(_source0" in plan
+    for _ in range(2):
+        merge_bucketed(name, source, ["k", "d"], 4, folder, exclude=["v"])
+    got = rows(spark.table(name))
+    want = [(f"k{i}", i, "t") for i in range(300)] + [(f"k{i}", i, "s") for i in range(300, 400)]
+    assert [r for r in got if r[0]] == sorted(want, key=lambda r: [(v is not None, str(v)) for v in r])
+    assert [r[2] for r in got if r[0] is None] == ["s", "s", "t"]
+    assert prune_versions(spark, name, folder, keep=1) == [1, 2] and spark.table(name).count() == 403
+    clash = spark.createDataFrame([("k1", 1, "a"), ("k1", 1, "b")], "k string, d int, v string")
+    with pytest.raises(ValueError, match="several source rows"):
+        merge_bucketed(name, clash, ["k", "d"], 4, folder)
+    spark.sql(f"DROP VIEW {name}")
+    spark.sql(f"DROP TABLE {name}__v3")
+
+
+@contextlib.contextmanager
+def spark_conf(spark, key, value):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    yield
+    spark.conf.set(key, before)
+
+
+def test_watermark_from_footers(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id * 10000000 AS _batch_runtime", "id % 3 AS day", "'x' AS wide")
+    rows.write.partitionBy("day").parquet(f"{tmp_path}/t")
+    found = footer_watermark(spark, f"{tmp_path}/t", 1000)
+    assert "PushedAggregation: [MAX(_batch_runtime)]" in _plan(found)
+    assert found.first()["max_loaded"] == 999 * 10000000 - 1000 == max_loaded(spark.read.parquet(f"{tmp_path}/t"), 1000)
+    spark.sql("SELECT CAST(NULL AS BIGINT) AS _batch_runtime, 1L AS day").write.mode("append").partitionBy("day").parquet(f"{tmp_path}/t")
+    assert loaded_at(spark, f"{tmp_path}/t", 1000) == 999 * 10000000 - 1000  # a file without statistics
+    rows.where("false").drop("day").write.parquet(f"{tmp_path}/none")
+    assert footer_watermark(spark, f"{tmp_path}/none").first()["max_loaded"] == 0

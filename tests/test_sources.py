@@ -156,6 +156,21 @@ def test_conform_reads_text_timestamps_and_json(spark):
     assert out["items"][0].b == "x"
 
 
+def test_conform_reads_variant_columns(spark, tmp_path):
+    rows = """[{"b": "x", "inner": [{"n": 1.5}, {"n": null}]}, {"inner": []}]"""
+    spark.createDataFrame([(rows, '"2024-01-01T10:00:00+02:00"', "7"), (None, None, None), ("[]", "null", "8")], "items string, at string, n string").selectExpr(
+        "parse_json(items) AS items", "parse_json(at) AS at", "parse_json(n) AS n"
+    ).write.parquet(f"{tmp_path}/t")
+    schema = T.StructType.fromDDL("items array<struct<b:string,inner:array<struct<n:double>>>>, at timestamp_ntz, n bigint")
+    out = {r.n: r for r in scan(spark, RawSource("a.b.c_d", path=f"{tmp_path}/t"), schema).collect()}
+    assert out[7]["items"][0].asDict(True) == {"b": "x", "inner": [{"n": 1.5}, {"n": None}]}
+    assert out[7]["items"][1].asDict(True) == {"b": None, "inner": []} and out[7].at == datetime.datetime(2024, 1, 1, 8)
+    assert out[None]["items"] is None and out[8]["items"] == [] and out[8].at is None
+    broken = spark.sql("SELECT parse_json('{}') AS items")
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+        conform(broken, T.StructType.fromDDL("items array<struct<b:string>>")).collect()
+
+
 def test_consolidate(spark):
     a = spark.createDataFrame([(1, "x")], "k int, v string")
     both = consolidate(spark, [a, a.select("v", "k")], a.schema)

@@ -6,11 +6,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeloom.config import LINEAGE, SEQ_ID, Config
 from tradeloom.demo import raw
 from tradeloom.plans import build, feed
 from tradeloom.plans import finance as fin
+from tradeloom.sources import RawSource
 
 
 @dataclass(frozen=True)
@@ -312,6 +314,27 @@ def feed_query(name: str):
     return run
 
 
+# Feeds whose nested columns also come as semi-structured values.
+VARIANT_FEEDS = ("ListFinancialEventsOrderFees", "CatalogItems")
+
+
+def variant_feed_query(name: str):
+    """The feed from raw tables whose arrays are VARIANT columns."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        item = feed(name)
+        landed = []
+        for source in raw.sources(spark, sf_dir, name):
+            nested = [f.name for f in source.frame.schema.fields if isinstance(f.dataType, T.ArrayType)]
+            values = {c: F.parse_json(F.to_json(c)) for c in nested}
+            landed.append(RawSource(source.name, frame=source.frame.withColumns(values)))
+        rates = raw.rates(spark, sf_dir) if item.fx else None
+        df = build(spark, item, landed, config(name), rates)
+        return comparable(df.select(*output_columns(name)))
+
+    return run
+
+
 def feed_sql(name: str, batches: str = "TRUE") -> str:
     case = CASES[name]
     rows = raw.duck(case.rows or raw.FLAT.get(name) or raw.NESTED_ROWS[name])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -250,6 +251,26 @@ def watermark_value(spark, sf_dir):
     )
 
 
+@_register(
+    "watermark_footers",
+    f"""SELECT 'loaded' AS target, COALESCE(max(_batch_runtime) - 2592000000, 0) AS max_loaded
+    FROM {_duck(SPREAD)} AS s
+    UNION ALL SELECT 'empty', COALESCE(max(_batch_runtime) - 2592000000, 0)
+    FROM {_duck(SPREAD)} AS s WHERE o_orderkey < 0""",
+)
+def watermark_footers(spark, sf_dir):
+    """The watermark of written tables, without reading a column of them."""
+    rows = raw.run_sql(spark, sf_dir, SPREAD)
+    found = []
+    for label, table in (("loaded", rows), ("empty", rows.where("o_orderkey < 0"))):
+        path = scratch_path(spark, "loaded")
+        table.write.parquet(path)
+        # a frame of the other session cannot be put together with this one's
+        value = ops.footer_watermark(spark, path).first()["max_loaded"]
+        found.append(spark.range(1).select(F.lit(label).alias("target"), F.lit(value).cast("long").alias("max_loaded")))
+    return found[0].unionByName(found[1])
+
+
 _NULL_CLOCK = (
     "SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE _batch_runtime END"
     f" AS _batch_runtime FROM ({SPREAD}) AS s"
@@ -707,18 +728,23 @@ def to_date_key(spark, sf_dir):
 # Sinks and merges -----------------------------------------------------------------------
 
 
+# Every order is on both sides; keys that match nothing are made by moving them.
+_TARGET_KEY = "CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey ELSE {} END"
+_SOURCE_KEY = "CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey + 1000000000000 ELSE {} END"
+
+
 def _merge_sides(spark, sf_dir, key: str = "o_orderkey"):
-    orders = raw.run_sql(spark, sf_dir, ORDERS).withColumn("id", F.expr(key))
+    orders = raw.run_sql(spark, sf_dir, ORDERS)
     columns = ["id", "o_orderkey", "status", "amount"]
-    target = orders.where("b = least(o_orderkey % 3, 1) and o_orderkey % 5 <> 0")
-    source = orders.where("b = o_orderkey % 3 and o_orderkey % 3 >= 1")
+    target = orders.where("b = least(o_orderkey % 3, 1)").withColumn("id", F.expr(_TARGET_KEY.format(key)))
+    source = orders.where("b = o_orderkey % 3").withColumn("id", F.expr(_SOURCE_KEY.format(key)))
     return target.select(*columns), source.select(*columns)
 
 
 def _merge_sql(amount: str = "s.amount", key: str = "o_orderkey") -> str:
-    side = f"SELECT {key} AS id, o_orderkey, status, amount FROM {_duck(ORDERS)} AS o"
-    return f"""WITH t AS ({side} WHERE b = least(o_orderkey % 3, 1) AND o_orderkey % 5 <> 0),
-    s AS ({side} WHERE b = o_orderkey % 3 AND o_orderkey % 3 >= 1)
+    side = f"AS id, o_orderkey, status, amount FROM {_duck(ORDERS)} AS o WHERE b ="
+    return f"""WITH t AS (SELECT {_TARGET_KEY.format(key)} {side} least(o_orderkey % 3, 1)),
+    s AS (SELECT {_SOURCE_KEY.format(key)} {side} o_orderkey % 3)
     SELECT t.id, t.o_orderkey, t.status, t.amount FROM t
     WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)
     UNION ALL SELECT s.id, s.o_orderkey, s.status, {amount}
@@ -749,18 +775,29 @@ def merge_null_keys(spark, sf_dir):
     return ops.merge_upsert(target, source, ["id"])
 
 
-def _twice(side: str, columns: str) -> str:
-    return f"SELECT o_custkey AS id, {columns} FROM {_duck(ORDERS)} AS o WHERE {side}"
+@_register("merge_bucketed", _merge_sql())
+def merge_bucketed(spark, sf_dir):
+    target, source = _merge_sides(spark, sf_dir)
+    path = scratch_path(spark, "bucketed")
+    name = os.path.basename(path).replace("-", "_")
+    ops.write_bucketed(target, name, ["id"], 8, path)
+    ops.merge_bucketed(name, source, ["id"], 8, path)
+    merged = spark.read.parquet(f"{path}/{name}__v2")
+    for number in (1, 2):  # the files stay, the query leaves nothing in the catalog
+        spark.sql(f"DROP TABLE {name}__v{number}")
+    spark.sql(f"DROP VIEW {name}")
+    return merged
 
 
-_REPEATED_TARGET = "b = 0 AND o_orderkey % 3 = 0"
-_ONE_PER_CUSTOMER = "SELECT id, max(status) AS status, max(amount) AS amount FROM ({}) AS o GROUP BY id"
+_REPEATED_TARGET = "CASE WHEN o_orderkey % 3 = 0 THEN o_custkey ELSE -o_custkey END"
+_ONE_PER_CUSTOMER = "CASE WHEN o_custkey % 2 = 0 THEN o_custkey ELSE o_custkey + 1000000000000 END"
 
 
 @_register(
     "merge_repeated_target",
-    f"""WITH t AS ({_twice(_REPEATED_TARGET, 'status, amount')}),
-    s AS ({_ONE_PER_CUSTOMER.format(_twice('b = 1 AND o_custkey % 2 = 0', 'status, amount'))})
+    f"""WITH t AS (SELECT {_REPEATED_TARGET} AS id, status, amount FROM {_duck(ORDERS)} AS o WHERE b = 0),
+    s AS (SELECT {_ONE_PER_CUSTOMER} AS id, max(status) AS status, max(amount) AS amount
+          FROM {_duck(ORDERS)} AS o WHERE b = 1 GROUP BY o_custkey)
     SELECT 'all' AS form, t.id, s.status, s.amount FROM t JOIN s ON t.id = s.id
     UNION ALL SELECT 'kept', t.id, s.status, t.amount FROM t JOIN s ON t.id = s.id
     UNION ALL SELECT f.form, t.id, t.status, t.amount FROM t, (VALUES ('all'), ('kept')) AS f(form)
@@ -770,10 +807,10 @@ _ONE_PER_CUSTOMER = "SELECT id, max(status) AS status, max(amount) AS amount FRO
 )
 def merge_repeated_target(spark, sf_dir):
     """Customers have several target rows; a matched key updates all of them."""
-    orders = raw.run_sql(spark, sf_dir, ORDERS).withColumn("id", F.col("o_custkey"))
-    target = orders.where(_REPEATED_TARGET).select("id", "status", "amount")
-    source = orders.where("b = 1 AND o_custkey % 2 = 0")
-    source = source.groupBy("id").agg(F.max("status").alias("status"), F.max("amount").alias("amount"))
+    orders = raw.run_sql(spark, sf_dir, ORDERS)
+    target = orders.where("b = 0").select(F.expr(_REPEATED_TARGET).alias("id"), "status", "amount")
+    source = orders.where("b = 1").groupBy(F.expr(_ONE_PER_CUSTOMER).alias("id"))
+    source = source.agg(F.max("status").alias("status"), F.max("amount").alias("amount"))
     forms = {"all": (), "kept": ("amount",)}
     merged = [
         ops.merge_upsert(target, source, ["id"], kept).withColumn("form", F.lit(form))

@@ -1,3 +1,4 @@
+from tradeloom.operators.bucketed import merge_bucketed, prune_versions, write_bucketed
 from tradeloom.operators.checks import (
     null_violations,
     recency_violations,
@@ -6,7 +7,7 @@ from tradeloom.operators.checks import (
     value_violations,
 )
 from tradeloom.operators.fx import Rates, with_exchange_rate
-from tradeloom.operators.incremental import max_loaded, since
+from tradeloom.operators.incremental import footer_watermark, loaded_at, max_loaded, since
 from tradeloom.operators.latest import keep_latest
 from tradeloom.operators.merge import duplicate_matches, merge_upsert
 from tradeloom.operators.nested import star_except, unnest, unnest_json
@@ -16,13 +17,17 @@ from tradeloom.operators.sink import merge_into, read_target, target_exists, wri
 __all__ = [
     "Rates",
     "duplicate_matches",
+    "footer_watermark",
     "has_hot_group",
     "keep_latest",
+    "loaded_at",
     "max_loaded",
+    "merge_bucketed",
     "merge_into",
     "merge_upsert",
     "null_violations",
     "number_rows",
+    "prune_versions",
     "read_target",
     "recency_violations",
     "run_checks",
@@ -34,5 +39,6 @@ __all__ = [
     "unnest_json",
     "value_violations",
     "with_exchange_rate",
+    "write_bucketed",
     "write_full",
 ]

@@ -26,21 +26,31 @@ def merge_upsert(
     Keys match by plain equality, so a NULL key never matches. Every target
     row of a matched key is updated. Columns in ``exclude`` keep the target's
     value on a match and take the source's on an insert. Nothing is deleted.
+
+    One full outer join on the complete keys: either side is shuffled once, a
+    table bucketed by the keys not at all. Rows with a NULL key bypass the join
+    and cannot pile up in one task.
     """
-    names = [f"_merge_key{i}" for i in range(len(keys))]
-    source_keys = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    target_keys = target.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    kept = target.join(source_keys, _match(keys, names), "left_anti")
-    inserted = source.join(target_keys, _match(keys, names), "left_anti")
-    held = {c.lower(): f"_held{i}" for i, c in enumerate(exclude)}
-    before = target.select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)],
-        *[F.col(c).alias(held[c.lower()]) for c in exclude],
-    )
-    updated = source.join(before, _match(keys, names)).select(
-        *[F.col(held[c.lower()]).alias(c) if c.lower() in held else F.col(c) for c in source.columns]
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    given = {c.lower(): f"_source{i}" for i, c in enumerate(source.columns)}
+    missing = {c.lower() for c in target.columns} ^ set(given)
+    if missing:
+        raise ValueError(f"target and source differ in the columns {sorted(missing)}")
+    new = source.where(complete).select(
+        *[F.col(c).alias(given[c.lower()]) for c in source.columns], F.lit(True).alias("_in_source")
     )
-    return kept.unionByName(updated).unionByName(inserted)
+    old = target.where(complete).withColumn("_in_target", F.lit(True))
+    joined = old.join(new, _match(keys, [given[k.lower()] for k in keys]), "full_outer")
+    held = {c.lower() for c in exclude}
+    merged = []
+    for name in target.columns:
+        before, after = F.col(name), F.col(given[name.lower()])
+        if name.lower() in held:
+            value = F.when(F.col("_in_target"), before).otherwise(after)
+        else:
+            value = F.when(F.col("_in_source"), after).otherwise(before)
+        merged.append(value.alias(name))
+    return joined.select(*merged).unionByName(target.where(~complete)).unionByName(source.where(~complete))
 
 
 def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -44,13 +44,14 @@ def _snapshots(spark: SparkSession, path: str) -> list[int]:
     )
 
 
-def _location(spark: SparkSession, path: str) -> str:
+def table_location(spark: SparkSession, path: str) -> str:
+    """The folder of a staged table's current files."""
     done = _snapshots(spark, path)
     return f"{path}/{_SNAPSHOT}{done[-1]}" if done else path
 
 
 def target_exists(spark: SparkSession, path: str) -> bool:
-    return "_SUCCESS" in (_children(spark, _location(spark, path)) or [])
+    return "_SUCCESS" in (_children(spark, table_location(spark, path)) or [])
 
 
 def read_target(
@@ -58,7 +59,7 @@ def read_target(
 ) -> DataFrame:
     """The current rows of a staged table."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(_location(spark, path))
+    df = reader.parquet(table_location(spark, path))
     return df if keep_day else df.drop(DAY)
 
 

@@ -14,7 +14,6 @@ from tradeloom.config import (
     BATCH_ID,
     BATCH_RUNTIME,
     LINEAGE,
-    LINEAGE_DDL,
     SEQ_ID,
     Col,
     Config,
@@ -24,7 +23,7 @@ from tradeloom.config import (
 from tradeloom.functions import as_utc, cast_leaf, day_of, default_key, shift_hours
 from tradeloom.operators.checks import run_checks
 from tradeloom.operators.fx import Rates, with_exchange_rate
-from tradeloom.operators.incremental import max_loaded
+from tradeloom.operators.incremental import loaded_at
 from tradeloom.operators.latest import keep_latest
 from tradeloom.operators.nested import unnest
 from tradeloom.operators.sequence import has_hot_group, number_rows
@@ -33,6 +32,7 @@ from tradeloom.operators.sink import (
     prune_snapshots,
     read_target,
     recover,
+    table_location,
     target_exists,
     write_full,
 )
@@ -271,8 +271,7 @@ def run_feed(
             snapshots = feed.partition_by is None
             write_full(rows, target, feed.partition_by, feed.cluster_by, snapshots=snapshots)
             return
-        clock = read_target(spark, target, T.StructType.fromDDL(LINEAGE_DDL))
-        loaded = max_loaded(clock, cfg.lookback_ms)
+        loaded = loaded_at(spark, table_location(spark, target), cfg.lookback_ms)
         # Written once: the merge reads it for days, repeated keys and rows.
         rows = stage(build(spark, feed, sources, cfg, rates, loaded, prefix), feed.name)
         merge_into(

@@ -63,15 +63,17 @@ def clip(actual: T.DataType, wanted: T.DataType) -> T.DataType:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns in its order and spelling.
 
-    Timestamps become UTC wall clock, JSON text is decoded to the nested
-    type, every other type passes through. A missing column is an error.
+    Timestamps become UTC wall clock, JSON text and semi-structured VARIANT
+    values are decoded to the nested type, every other type passes through. A missing column is an error.
     """
     have = {f.name.lower(): f for f in df.schema.fields}
     out = []
     for field in schema.fields:
         stored = have.get(field.name.lower())
         actual = stored.dataType if stored else None
-        if isinstance(actual, T.StringType) and isinstance(field.dataType, T.ArrayType):
+        if isinstance(actual, T.VariantType) and not isinstance(field.dataType, T.VariantType):
+            out.append(_from_variant(field).alias(field.name))
+        elif isinstance(actual, T.StringType) and isinstance(field.dataType, T.ArrayType):
             # Broken text must not pass for an empty array.
             decoded = F.from_json(field.name, field.dataType, {"mode": "FAILFAST"})
             out.append(decoded.alias(field.name))
@@ -87,6 +89,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
+def _from_variant(field: T.StructField) -> Column:
+    """A VARIANT column as the feed's type; a value of another shape is an error."""
+    if isinstance(field.dataType, T.TimestampNTZType):
+        return as_utc(F.variant_get(field.name, "$", "string"), "string")
+    return F.variant_get(field.name, "$", field.dataType.simpleString())
+
+
 def scan(spark: SparkSession, source: RawSource, schema: T.StructType, prefix: str = "") -> DataFrame:
     """Rows of one raw table with only the fields of ``schema``.
 
