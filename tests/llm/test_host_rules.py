@@ -2,11 +2,13 @@
 
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from check_sql import compare
+from tradeloom.llm import host_rules
 from tradeloom.llm.host_rules import beta_prior, host_rates, judge
 from tradeloom.llm.queries import QUERIES, SQL
 
@@ -44,6 +46,24 @@ def test_counts(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain(texts[r.id]), texts[r.id]
 
 
+def test_windows_of_equal_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(host_rules, "window_hash", lambda *words: F.char_length(words[0]).cast("long"))
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["a", "b", "cc", "dd"]) for _ in range(rng.randrange(2, 40))) for _ in range(60)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    for r in judge(spark.createDataFrame(rows, DOCS)).collect():
+        assert r.n_repeat_words == plain(texts[r.id])[4]
+
+
+def test_a_text_of_a_million_words(spark):
+    rng = random.Random(10)
+    words = [f"{rng.randrange(400)}" for _ in range(1_000_000)]
+    seen = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = {i + k for i, w in enumerate(zip(words, words[1:], words[2:], strict=False)) if seen[w] > 1 for k in range(3)}
+    (row,) = judge(spark.createDataFrame([(1, " ".join(words), "en", "s", 0)], DOCS)).collect()
+    assert (row.n_words, row.n_repeat_words) == (len(words), len(covered))
+
+
 def test_rates_are_shrunk_and_reach_the_documents(spark):
     good = " ".join(f"w{i}" for i in range(60))
     rows = [(i, good if i % 10 else "bad", "en", "large", 0) for i in range(100)]

@@ -9,6 +9,7 @@ documents as well.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,14 +35,29 @@ def _repeated_lines(text: Column) -> Column:
     return F.size(lines) - F.size(F.array_distinct(lines))
 
 
+def window_hash(*window: Column) -> Column:
+    return F.xxhash64(*window)
+
+
+def _same_neighbour(items: Column, part: Callable[[Column], Column]) -> Column:
+    """The items of a sorted array whose ``part`` equals that of an item beside them."""
+
+    def repeated(item: Column, at: Column) -> Column:
+        return (part(item) == part(F.get(items, at - 1))) | (part(item) == part(F.get(items, at + 1)))
+
+    return F.filter(items, repeated)
+
+
 def word_statistics(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """``(id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)``.
 
     Words in repeated windows are found by sorting. Every window becomes one
-    number, its hash followed by its place; in sorted order equal windows are
-    neighbours. The places of repeated windows, sorted, give the words covered:
-    each window adds the words up to the next one, three at most. The hash has
-    64 bits less those of the place (15 for 20,000 words).
+    number, its hash followed by its place; in sorted order windows of equal
+    hash are neighbours. The hash has 64 bits less those of the place (15 for
+    20,000 words), so these windows are then sorted by their words, where only
+    equal windows are neighbours. The places of repeated windows, sorted, give
+    the words covered: each window adds the words up to the next one, three at
+    most.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(
@@ -57,20 +73,23 @@ def word_statistics(docs: DataFrame, id_col: str, text_col: str, host_col: str)
     heads = F.slice(words, 1, F.greatest(F.size(words) - (WINDOW - 1), F.lit(0)))
 
     def numbered(word: Column, at: Column) -> Column:
-        window = F.xxhash64(word, *(F.get(words, at + i) for i in range(1, WINDOW)))
+        window = window_hash(word, *(F.get(words, at + i) for i in range(1, WINDOW)))
         return F.call_function("shiftleft", window, F.col("bits")).bitwiseOR(at.cast("long"))
 
     rows = rows.withColumn("keys", F.sort_array(F.transform(heads, numbered)))
     keys, bits = F.col("keys"), F.col("bits")
 
-    def window(key: Column) -> Column:
-        return F.call_function("shiftright", key, bits)
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
 
-    def repeated(key: Column, at: Column) -> Column:
-        return (window(key) == window(F.get(keys, at - 1))) | (window(key) == window(F.get(keys, at + 1)))
+    def at_place(key: Column) -> Column:
+        place = key.bitwiseAND(mask).cast("int")
+        text = F.struct(*(F.get(words, place + i).alias(f"w{i}") for i in range(WINDOW)))
+        return F.struct(text.alias("text"), place.alias("place"))
 
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-    places = F.transform(F.filter(keys, repeated), lambda key: key.bitwiseAND(mask))
+    alike = _same_neighbour(keys, lambda key: F.call_function("shiftright", key, bits))
+    rows = rows.withColumn("alike", F.sort_array(F.transform(alike, at_place)))
+    repeated = _same_neighbour(F.col("alike"), lambda window: window["text"])
+    places = F.transform(repeated, lambda window: window["place"])
     rows = rows.select(
         "id",
         "host",
