@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tradeloom.llm import pivotal
 from tradeloom.llm.pivotal import Unfinished, fair_shares, meet, mix, mixed_documents, numbered
 from tradeloom.llm.queries import QUERIES
 
@@ -80,13 +81,24 @@ def test_expected_copies():
             new = Unfinished(run * 10 + i, size, p)
             left = new if left is None else meet(left, new, done)
         if left is not None:
-            done.append((left.key, int(rng.random() < left.p)))
-        for key, extra in done:
-            counts[key % 10] += extra
+            done.append((left, int(rng.random() < left.p)))
+        for document, extra in done:
+            counts[document.key % 10] += extra
     for count, p in zip(counts, (0.3, 0.6, 0.8), strict=True):
         assert abs(count / runs - p) < 0.035
 
 
+def test_documents_that_share_a_key(spark, monkeypatch):
+    monkeypatch.setattr(pivotal, "draw_key", lambda doc_id, key, source: F.pmod(doc_id, F.lit(2)))
+    rows = [(i, "w " * (1 + i % 7), "en", f"s{i % 3}", 0) for i in range(200)]
+    rows += [(i, "other words here", "en", "s0", 0) for i in range(20)]  # a repeated id with another text
+    found = mix(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(found) == len({(r.id, r.text_key, r.source) for r in found}) == len(rows)
+    for source in ("s0", "s1", "s2"):
+        part = [r for r in found if r.source == source]
+        assert abs(sum(r["size"] * r.copies for r in part) - part[0].target) <= 7
+
+
 def test_edge_rows(spark):
     rows = [
         (1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, "x y z", "en", None, 0), (3, "x y z", "en", None, 0),

@@ -22,7 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import stage, text_key, unit_hash, word_count
@@ -79,12 +79,13 @@ def fair_shares(sources: DataFrame, total: float, most: float = MAX_COPIES) -> D
 
 @dataclass
 class Unfinished:
-    key: int
+    key: int  # for the draws; documents may share one
     size: float
     p: float  # probability of one more copy
+    name: str = ""  # tells documents apart
 
 
-def meet(a: Unfinished, b: Unfinished, done: list[tuple[int, int]]) -> Unfinished | None:
+def meet(a: Unfinished, b: Unfinished, done: list[tuple[Unfinished, int]]) -> Unfinished | None:
     """Move words between two documents until one is whole; the other stays."""
     up = min((1 - a.p) * a.size, b.p * b.size)  # words that can move to a
     down = min(a.p * a.size, (1 - b.p) * b.size)
@@ -96,29 +97,30 @@ def meet(a: Unfinished, b: Unfinished, done: list[tuple[int, int]]) -> Unfinishe
         if TINY < x.p < 1 - TINY:
             open_ones.append(x)
         else:
-            done.append((x.key, round(x.p)))
+            done.append((x, round(x.p)))
     return open_ones[0] if open_ones else None
 
 
 def _round_part(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
     """Round the documents of one part; ``extra`` of -1 marks the one left over."""
-    rows = rows.sort_values("key", kind="stable")
-    done: list[tuple[int, int]] = []
+    rows = rows.sort_values(["key", "name"], kind="stable")
+    done: list[tuple[Unfinished, int]] = []
     left: Unfinished | None = None
-    for key, size, p in zip(rows["key"].tolist(), rows["size"].tolist(), rows["p"].tolist(), strict=True):
-        new = Unfinished(key, float(size), p)
+    columns = (rows[c].tolist() for c in ("key", "size", "p", "name"))
+    for key, size, p, name in zip(*columns, strict=True):
+        new = Unfinished(key, float(size), p, name)
         left = new if left is None else meet(left, new, done)
-    out = [(key, extra, 0.0, 0) for key, extra in done]
+    out = [(x.name, x.key, extra, 0.0, 0) for x, extra in done]
     if left is not None:
         if last:
-            out.append((left.key, int(unit_hash(left.key) < left.p), 0.0, 0))
+            out.append((left.name, left.key, int(unit_hash(left.key) < left.p), 0.0, 0))
         else:
-            out.append((left.key, -1, left.p, int(left.size)))
-    frame = pd.DataFrame(out, columns=["key", "extra", "p", "size"])
+            out.append((left.name, left.key, -1, left.p, int(left.size)))
+    frame = pd.DataFrame(out, columns=["name", "key", "extra", "p", "size"])
     return frame.assign(rank=rows["rank"].iloc[0], depth=rows["depth"].iloc[0])
 
 
-_ROUNDED = "key long, extra int, p double, size long, rank long, depth int"
+_ROUNDED = "name string, key long, extra int, p double, size long, rank long, depth int"
 
 
 def _round_level(open_rows: DataFrame, level: int) -> DataFrame:
@@ -136,18 +138,19 @@ def _round_level(open_rows: DataFrame, level: int) -> DataFrame:
 
 
 def round_copies(units: DataFrame) -> DataFrame:
-    """``(key, extra)`` with ``extra`` 0 or 1 for every unit.
+    """``(rank, name, extra)`` with ``extra`` 0 or 1 for every unit.
 
-    ``units``: ``rank`` (the source), ``key`` (unique), ``size`` over 0, ``p``
-    strictly between 0 and 1, ``depth`` (bits of the part prefix).
+    ``units``: ``rank`` (the source), ``name`` (unique in its source), ``key``
+    (for the draws, any number), ``size`` over 0, ``p`` strictly between 0 and
+    1, ``depth`` (bits of the part prefix).
     """
     deepest = units.agg(F.max("depth")).first()[0]
     if deepest is None:
-        return units.select("key", F.lit(0).alias("extra"))
+        return units.select("rank", "name", F.lit(0).alias("extra"))
     left, rounded = units, []
     for level in range(-(-deepest // FAN_IN) + 1):
         step = stage(_round_level(left, level), "rounded")
-        rounded.append(step.where("extra >= 0").select("key", "extra"))
+        rounded.append(step.where("extra >= 0").select("rank", "name", "extra"))
         left = step.where("extra < 0")
     out = rounded[0]
     for more in rounded[1:]:
@@ -155,6 +158,10 @@ def round_copies(units: DataFrame) -> DataFrame:
     return out
 
 
+def draw_key(doc_id: Column, key: Column, source: Column) -> Column:
+    return F.xxhash64(doc_id, key, source)
+
+
 def sizes_of(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """``(id, text_key, source, size, n)``: n equal rows of ``size`` words each."""
     rows = docs.select(
@@ -214,13 +221,14 @@ def mix(
         {
             "certain": F.when(worded, certain).otherwise(1).cast("int"),
             "p": F.when(worded, near - certain).otherwise(0.0),
-            "key": F.xxhash64("id", "text_key", "source"),
+            "key": draw_key(F.col("id"), F.col("text_key"), F.col("source")),
+            "name": F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("none")), "text_key"),
         }
     )
     rows = stage(rows, "fractions")
-    units = rows.where("p > 0").select("rank", "key", (F.col("size") * F.col("n")).alias("size"), "p", "depth")
+    units = rows.where("p > 0").select("rank", "name", "key", (F.col("size") * F.col("n")).alias("size"), "p", "depth")
     extra = stage(round_copies(units), "copies")
-    found = rows.join(extra, "key", "left")
+    found = rows.join(extra, ["rank", "name"], "left")
     return found.select(
         "id",
         "text_key",
