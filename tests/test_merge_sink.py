@@ -64,14 +64,17 @@ def files(path):
     }
 
 
+def current(spark, path):
+    return set(read_target(spark, path).inputFiles())
+
+
 def test_local_merge_rewrites_only_touched_days(spark, target, rows, tmp_path):
     path = f"{tmp_path}/t"
     merge_into(path, target, ["k", "at"], partition_by="at", cluster_by=["k"])
-    before = files(path)
+    before = current(spark, path)
     source = frame(spark, [("a", D(2024, 1, 1), 9, 9), ("z", D(2024, 1, 1), 9, 9)])
     merge_into(path, source, ["k", "at"], partition_by="at", cluster_by=["k"])
-    after = files(path)
-    kept = {f for f in before if f in after and before[f] == after[f]}
+    kept = before & current(spark, path)
     assert len(kept) == 2 and not any("2024-01-01" in f for f in kept)
     assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 9), ("b", 1), ("z", 9)]
 
@@ -80,25 +83,37 @@ def test_a_run_that_breaks_off_loses_nothing(spark, target, rows, tmp_path, monk
     path = f"{tmp_path}/t"
     merge_into(path, target, ["k"], partition_by="at")
     source = frame(spark, [("a", D(2024, 5, 5), 7, 7), ("b", D(2024, 1, 2), 8, 8)])
-    real, calls = sink.recover, []
+    with monkeypatch.context() as broken:
+        broken.setattr(sink, "_list_days", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            merge_into(path, source, ["k"], partition_by="at")
+        with pytest.raises(ZeroDivisionError):
+            write_full(source, path, partition_by="at")
+    assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 1), ("b", 1)]
+    os.makedirs(f"{path}/days=3")  # a list of days without its end is not read
+    merge_into(path, source, ["k"], partition_by="at")
+    assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 7), ("b", 8)]
 
-    def breaks_before_the_move(*args):
-        calls.append(args)
-        if len(calls) == 2:
-            raise RuntimeError("driver lost")
-        return real(*args)
 
-    monkeypatch.setattr(sink, "recover", breaks_before_the_move)
-    with pytest.raises(RuntimeError):
-        merge_into(path, source, ["k"], partition_by="at")
+def test_old_days_stay_until_pruned(spark, target, rows, tmp_path):
+    path = f"{tmp_path}/t"
+    merge_into(path, target, ["k"], partition_by="at")
+    begun = read_target(spark, path)
+    merge_into(path, frame(spark, [("a", D(2024, 1, 1), 2, 2)]), ["k"], partition_by="at")
+    assert prune_snapshots(spark, path) == []  # the state before is kept
+    assert rows(begun, "k", "v") == [(None, 1), ("a", 1), ("b", 1)]
+    merge_into(path, frame(spark, [("b", D(2024, 1, 2), 3, 3)]), ["k"], partition_by="at")
+    os.makedirs(f"{path}/snapshot=9")  # a write that goes on is left alone
+    assert prune_snapshots(spark, path, keep=1) == []
+    assert sorted(f.split("/")[-2] for f in files(path) if "snapshot=1/" in f) == [f"{DAY}=2024-01-03"]
+    assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 2), ("b", 3)]
+    write_full(target, path, partition_by="at")
+    assert prune_snapshots(spark, path, keep=1) == [1, 2, 3, 9]
     assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 1), ("b", 1)]
-    # one day is moved, then the driver is lost again
-    os.rename(f"{path}/_journal/rows/{DAY}=2024-05-05", f"{path}/{DAY}=2024-05-05")
-    assert real(spark, path) and not real(spark, path)
-    assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 7), ("b", 8)]
-    # without the list of days a replacement is dropped
-    os.makedirs(f"{path}/_journal/rows/{DAY}=2024-01-02")
-    assert not real(spark, path) and read_target(spark, path).count() == 3
+    write_full(target.where("false"), path, partition_by="at")
+    assert target_exists(spark, path) and read_target(spark, path, target.schema).count() == 0
+    merge_into(path, target, ["k"], partition_by="at")
+    assert read_target(spark, path).count() == 3
 
 
 def test_full_refresh_replaces_all_days(spark, target, rows, tmp_path):
@@ -106,7 +121,7 @@ def test_full_refresh_replaces_all_days(spark, target, rows, tmp_path):
     write_full(target, path, partition_by="at")
     write_full(frame(spark, [("x", D(2024, 1, 2), 3, 3), ("y", None, 3, 3)]), path, partition_by="at")
     assert rows(read_target(spark, path), "k", "v") == [("x", 3), ("y", 3)]
-    assert sorted(n for n in os.listdir(path) if n.startswith(DAY)) == [
+    assert sorted(f.split("/")[-2] for f in current(spark, path)) == [
         f"{DAY}=2024-01-02", f"{DAY}=__HIVE_DEFAULT_PARTITION__"
     ]
 
@@ -122,14 +137,13 @@ def test_local_merge_of_a_missing_day_appends(spark, tmp_path, rows):
 def test_match_in_another_day_moves_the_row(spark, target, rows, tmp_path):
     path = f"{tmp_path}/t"
     merge_into(path, target, ["k"], partition_by="at")
-    before = files(path)
+    before = current(spark, path)
     moved = frame(spark, [("a", D(2024, 5, 5), 7, 7)])
     merge_into(path, moved, ["k"], partition_by="at")
     stored = read_target(spark, path, keep_day=True)
     assert rows(stored, "k", "v") == [(None, 1), ("a", 7), ("b", 1)]
     assert {str(r[0]) for r in stored.select(DAY).collect()} == {"2024-01-02", "2024-01-03", "2024-05-05"}
-    after = files(path)
-    kept = {f for f in before if before[f] == after.get(f)}
+    kept = before & current(spark, path)
     assert len(kept) == 2 and not any("2024-01-01" in f or "2024-05-05" in f for f in kept)
 
 

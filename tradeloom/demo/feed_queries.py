@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import types as T
 
 from tradeloom.config import LINEAGE, SEQ_ID, Config
 from tradeloom.demo import raw
-from tradeloom.plans import build, feed
+from tradeloom.plans import FEEDS, build, feed
 from tradeloom.plans import finance as fin
+from tradeloom.plans.shared import share
 from tradeloom.sources import RawSource
 
 
@@ -335,6 +337,40 @@ def variant_feed_query(name: str):
     return run
 
 
+# Feeds of one layout cut out of the same records, which are scanned once for all of them.
+EVENT_FEEDS = [n for n, item in FEEDS.items() if item.like == fin.LIKE and len(item.columns) == 8]
+
+
+def _shared_columns() -> list[str]:
+    """Names of the common layout in the place of each feed's own."""
+    names = "posted order_id market sku quantity kind code amount".split()
+    rates = ["exchange_currency_rate", "exchange_currency_code"]
+    return ["brand", "store", *names, *rates, *LINEAGE, SEQ_ID]
+
+
+def shared_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of all financial-event feeds, from one scan of their raw tables."""
+    feeds = [feed(name) for name in EVENT_FEEDS]
+    cfg = config(EVENT_FEEDS[0])
+    shared = share(spark, feeds, raw.event_sources(spark, sf_dir, feeds), cfg)
+    rates = raw.rates(spark, sf_dir)
+    out = []
+    for name, item in zip(EVENT_FEEDS, feeds, strict=True):
+        rows = build(spark, item, [], cfg, rates, shared=shared)
+        rows = comparable(rows.select(*output_columns(name))).toDF(*_shared_columns())
+        out.append(rows.withColumn("feed", F.lit(name)))
+    return reduce(DataFrame.unionByName, out)
+
+
+def shared_feeds_sql() -> str:
+    names = _shared_columns()
+    at = names.index(LINEAGE[0])
+    columns = ", ".join([*names[: at - 2], *names[at:], *names[at - 2 : at]])  # as the feeds' SQL has them
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS feed, * FROM ({feed_sql(name)}) AS f({columns})" for name in EVENT_FEEDS
+    )
+
+
 def feed_sql(name: str, batches: str = "TRUE") -> str:
     case = CASES[name]
     rows = raw.duck(case.rows or raw.FLAT.get(name) or raw.NESTED_ROWS[name])

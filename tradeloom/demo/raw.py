@@ -11,7 +11,7 @@ raw tables (``key % 2``).
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -356,8 +356,8 @@ def _money(present: Column, code: Column, amount: Column, amount_name: str) -> C
     )
 
 
-def _raw_events(spark: SparkSession, sf_dir: str, item: Feed) -> DataFrame:
-    """One raw record per order line, the line's items and entries nested."""
+def _raw_events(spark: SparkSession, sf_dir: str, *feeds: Feed) -> DataFrame:
+    """One raw record per order line, with the nested fields of all ``feeds``."""
     base = run_sql(
         spark,
         sf_dir,
@@ -367,47 +367,54 @@ def _raw_events(spark: SparkSession, sf_dir: str, item: Feed) -> DataFrame:
         " FROM {orders} LEFT JOIN {lineitem} ON l_orderkey = o_orderkey",
     )
     c = F.col
-    # The last three of the un-nest chain: entry, amount and what is above.
-    events, items = item.unnest[0], item.unnest[1].split(".")[1]
-    amount = item.unnest[-1].split(".")[1]
-    chain = [p.split(".")[1] for p in item.unnest[2:-1]]
-    kind = next(x.path.split(".")[1] for x in item.columns if x.path.startswith(chain[-1] + "."))
-
-    def entry(e: Column) -> Column:
-        money = _money(
-            (c("l_suppkey") + e) % 6 != 0,
-            c("ccy"),
-            (c("l_suppkey") * 100 + e).cast("double") + 0.25,
-            "CurrencyAmount",
-        )
-        name = F.when((c("l_partkey") % 7 == 0) & (e == 1), None).otherwise(
-            F.concat(F.lit("T"), _str(e))
-        )
-        made = F.struct(name.alias(kind), money.alias(amount))
-        for level in reversed(chain[1:]):
-            made = F.struct(F.array(made).alias(level))
-        return made
-
-    def line_item(i: Column) -> Column:
-        sku = (
-            F.when(c("l_partkey") % 10 == 0, None)
-            .when(c("l_partkey") % 10 == 1, "N/A")
-            .otherwise(F.concat(_str(c("l_partkey")), F.lit("-"), _str(i)))
-        )
+
+    def entries(item: Feed) -> Column:
+        # The last three of the un-nest chain: entry, amount and what is above.
+        amount = item.unnest[-1].split(".")[1]
+        chain = [p.split(".")[1] for p in item.unnest[2:-1]]
+        kind = next(x.path.split(".")[1] for x in item.columns if x.path.startswith(chain[-1] + "."))
+
+        def entry(e: Column) -> Column:
+            money = _money(
+                (c("l_suppkey") + e) % 6 != 0,
+                c("ccy"),
+                (c("l_suppkey") * 100 + e).cast("double") + 0.25,
+                "CurrencyAmount",
+            )
+            name = F.when((c("l_partkey") % 7 == 0) & (e == 1), None).otherwise(
+                F.concat(F.lit("T"), _str(e))
+            )
+            made = F.struct(name.alias(kind), money.alias(amount))
+            for level in reversed(chain[1:]):
+                made = F.struct(F.array(made).alias(level))
+            return made
+
+        return _array(c("l_partkey") % 5, _ENTRIES, entry).alias(chain[0])
+
+    def event(members: Sequence[Feed]) -> Column:
+        def line_item(i: Column) -> Column:
+            sku = (
+                F.when(c("l_partkey") % 10 == 0, None)
+                .when(c("l_partkey") % 10 == 1, "N/A")
+                .otherwise(F.concat(_str(c("l_partkey")), F.lit("-"), _str(i)))
+            )
+            return F.struct(
+                sku.alias("SellerSKU"), _str(c("qty")).alias("QuantityShipped"), *map(entries, members)
+            )
+
         return F.struct(
-            sku.alias("SellerSKU"),
-            _str(c("qty")).alias("QuantityShipped"),
-            _array(c("l_partkey") % 5, _ENTRIES, entry).alias(chain[0]),
+            _zulu(c("posted")).alias("PostedDate"),
+            c("oid").alias("AmazonOrderId"),
+            F.concat(F.lit("M"), _str(c("o_custkey") % 3)).alias("MarketplaceName"),
+            _array(c("l_linenumber") % 4, _ITEMS, line_item).alias(members[0].unnest[1].split(".")[1]),
         )
 
-    event = F.struct(
-        _zulu(c("posted")).alias("PostedDate"),
-        c("oid").alias("AmazonOrderId"),
-        F.concat(F.lit("M"), _str(c("o_custkey") % 3)).alias("MarketplaceName"),
-        _array(c("l_linenumber") % 4, _ITEMS, line_item).alias(items),
-    )
+    sides: dict[str, list[Feed]] = {}
+    for item in feeds:
+        sides.setdefault(item.unnest[0], []).append(item)
+    given = c("l_orderkey").isNotNull()
     nested = base.select(
-        "o_orderkey", F.when(c("l_orderkey").isNotNull(), F.array(event)).alias(events)
+        "o_orderkey", *[F.when(given, F.array(event(members))).alias(events) for events, members in sides.items()]
     )
     return spark.sql(
         f"SELECT nested.*, {lineage('o_orderkey')} FROM {{nested}} AS nested"
@@ -610,3 +617,12 @@ def sources(spark: SparkSession, sf_dir: str, name: str) -> list[RawSource]:
         RawSource(pattern.format(name), frame=raw.where(F.col("src") == i).drop("src"))
         for i, pattern in enumerate(SOURCE_NAMES)
     ]
+
+
+def event_sources(spark: SparkSession, sf_dir: str, feeds: Sequence[Feed]) -> list[RawSource]:
+    """The two raw tables of financial events, with the fields of all ``feeds``."""
+    raw = _raw_events(spark, sf_dir, *feeds)
+    return [
+        RawSource(pattern.format("ListFinancialEvents"), frame=raw.where(F.col("src") == i).drop("src"))
+        for i, pattern in enumerate(SOURCE_NAMES)
+    ]

@@ -1,9 +1,17 @@
-"""Staged tables on plain Parquet: full write, day partitions, clustering, merge."""
+"""Staged tables on plain Parquet: full write, day partitions, clustering, merge.
+
+A table without days is a row of numbered snapshots, of which readers take the
+newest complete one. A table with days writes only the days that change to a
+new snapshot, and after them a small table that names the snapshot of every
+day. Readers follow the newest complete one of these, so they see all days of a
+write or none, and a write that breaks off is never seen. Old snapshots stay
+for readers that have begun until they are pruned. A table has one writer at a
+time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,15 +23,11 @@ from tradeloom.session import delete_path
 
 DAY = "_day"
 _SNAPSHOT = "snapshot="
-_JOURNAL = "_journal"
+_DAYS = "days="
+_DAYS_DDL = "folder string, snapshot int"
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _filesystem(spark: SparkSession, path: str):
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _children(spark: SparkSession, path: str) -> list[str] | None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -32,34 +36,54 @@ def _children(spark: SparkSession, path: str) -> list[str] | None:
     return [status.getPath().getName() for status in fs.listStatus(folder)]
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the completely written snapshots, ascending."""
-    numbers = [
-        int(name[len(_SNAPSHOT) :])
-        for name in _children(spark, path) or []
-        if name.startswith(_SNAPSHOT)
-    ]
-    return sorted(
-        n for n in numbers if "_SUCCESS" in (_children(spark, f"{path}/{_SNAPSHOT}{n}") or [])
-    )
+def _numbers(spark: SparkSession, path: str, kind: str, complete: bool = True) -> list[int]:
+    """Numbers of the snapshots or lists of days, ascending; of complete ones if asked."""
+    found = sorted(int(n[len(kind) :]) for n in _children(spark, path) or [] if n.startswith(kind))
+    return [n for n in found if not complete or "_SUCCESS" in (_children(spark, f"{path}/{kind}{n}") or [])]
+
+
+def _next_number(spark: SparkSession, path: str) -> int:
+    """A number that was never used, not even by a write that failed."""
+    used = [*_numbers(spark, path, _SNAPSHOT, False), *_numbers(spark, path, _DAYS, False)]
+    return max(used, default=0) + 1
+
+
+def _days_of(spark: SparkSession, path: str, number: int) -> dict[str, int]:
+    """The snapshot of every day; one row per calendar day."""
+    listed = spark.read.schema(_DAYS_DDL).parquet(f"{path}/{_DAYS}{number}").collect()
+    return {r["folder"]: r["snapshot"] for r in listed}
 
 
-def table_location(spark: SparkSession, path: str) -> str:
-    """The folder of a staged table's current files."""
-    done = _snapshots(spark, path)
-    return f"{path}/{_SNAPSHOT}{done[-1]}" if done else path
+def table_paths(spark: SparkSession, path: str) -> list[str]:
+    """The folders that hold a staged table's current rows."""
+    lists = _numbers(spark, path, _DAYS)
+    done = _numbers(spark, path, _SNAPSHOT)
+    if lists:
+        days = _days_of(spark, path, lists[-1])
+        if days:
+            return [f"{path}/{_SNAPSHOT}{number}/{folder}" for folder, number in sorted(days.items())]
+    return [f"{path}/{_SNAPSHOT}{done[-1]}" if done else path]
 
 
 def target_exists(spark: SparkSession, path: str) -> bool:
-    return "_SUCCESS" in (_children(spark, table_location(spark, path)) or [])
+    if _numbers(spark, path, _DAYS) or _numbers(spark, path, _SNAPSHOT):
+        return True
+    return "_SUCCESS" in (_children(spark, path) or [])
 
 
 def read_target(
     spark: SparkSession, path: str, schema: T.StructType | None = None, keep_day: bool = False
 ) -> DataFrame:
     """The current rows of a staged table."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(table_location(spark, path))
+    paths = table_paths(spark, path)
+    reader, number = spark.read, _SNAPSHOT.rstrip("=")
+    if _numbers(spark, path, _DAYS):
+        reader = reader.option("basePath", path)
+        if schema is not None:
+            schema = T.StructType([*schema.fields, T.StructField(number, T.IntegerType())])
+        df = (reader if schema is None else reader.schema(schema)).parquet(*paths).drop(number)
+    else:
+        df = (reader if schema is None else reader.schema(schema)).parquet(*paths)
     return df if keep_day else df.drop(DAY)
 
 
@@ -86,41 +110,23 @@ def _day_folder(day) -> str:
 
 
 def _put_days(df: DataFrame, path: str, days, partition_by: str, cluster_by: Sequence[str]) -> None:
-    """Replace ``days`` of the table at ``path`` by the rows of ``df``.
+    """Replace ``days`` of the table at ``path``, all if None, by the rows of ``df``."""
+    spark = df.sparkSession
+    lists = _numbers(spark, path, _DAYS)
+    number = _next_number(spark, path)
+    _writer(df, partition_by, cluster_by).parquet(f"{path}/{_SNAPSHOT}{number}")
+    held: dict[str, int] = {}
+    if days is not None and lists:
+        gone = set(map(_day_folder, days))
+        held = {folder: n for folder, n in _days_of(spark, path, lists[-1]).items() if folder not in gone}
+    for name in _children(spark, f"{path}/{_SNAPSHOT}{number}") or []:
+        if name.startswith(f"{DAY}="):
+            held[name] = number
+    _list_days(spark, f"{path}/{_DAYS}{number}", held)
 
-    The new days are written beside the table first, then the list of all days
-    to be replaced. Only then are they moved into place, one by one. A run that
-    breaks off before loses nothing of the old table; one that breaks off later
-    is finished by the next call of ``recover``.
-    """
-    spark, journal = df.sparkSession, f"{path}/{_JOURNAL}"
-    delete_path(spark, journal)
-    _writer(df, partition_by, cluster_by).parquet(f"{journal}/rows")
-    written = {n for n in _children(spark, f"{journal}/rows") or [] if n.startswith(f"{DAY}=")}
-    listed = [(name, name in written) for name in {*map(_day_folder, days), *written}]
-    spark.createDataFrame(listed, "folder string, filled boolean").coalesce(1).write.parquet(f"{journal}/days")
-    recover(spark, path)
-
-
-def recover(spark: SparkSession, path: str) -> bool:
-    """Finish or drop a replacement of days that broke off; True if finished."""
-    journal = f"{path}/{_JOURNAL}"
-    state = _children(spark, journal)
-    if state is None:
-        return False
-    complete = "_SUCCESS" in (_children(spark, f"{journal}/days") or [])
-    if complete:
-        fs = _filesystem(spark, path)
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for row in spark.read.parquet(f"{journal}/days").collect():  # one row per calendar day
-            new, old = at(f"{journal}/rows/{row['folder']}"), at(f"{path}/{row['folder']}")
-            waiting = fs.exists(new)
-            if waiting or not row["filled"]:
-                fs.delete(old, True)
-            if waiting and not fs.rename(new, old):
-                raise OSError(f"could not move {row['folder']} into place")
-    delete_path(spark, journal)
-    return complete
+
+def _list_days(spark: SparkSession, at: str, days: dict[str, int]) -> None:
+    spark.createDataFrame(sorted(days.items()), _DAYS_DDL).coalesce(1).write.parquet(at)
 
 
 def _writer(df: DataFrame, partition_by: str | None, cluster_by: Sequence[str]):
@@ -139,36 +145,46 @@ def write_full(
 ) -> None:
     """Replace the whole table.
 
-    With ``snapshots`` the rows go to a new numbered folder that readers take
-    once it is complete; the folder read from is never written to. Days of an
-    existing day-partitioned table stay until the new ones are complete.
+    Day-partitioned tables, and others with ``snapshots``, are written to a new
+    numbered folder that readers take once it is complete; the folders read
+    from are never written to.
     """
-    spark = df.sparkSession
-    if partition_by is not None and not snapshots and target_exists(spark, path):
-        names = [n for n in _children(spark, path) or [] if n.startswith(f"{DAY}=")]
-        values = [n.split("=", 1)[1] for n in names]
-        days = [None if v == _NO_DAY else date.fromisoformat(v) for v in values]
-        _put_days(df, path, days, partition_by, cluster_by)
+    if partition_by is not None:
+        _put_days(df, path, None, partition_by, cluster_by)
         return
     if snapshots:
-        # A number is never used twice, not even after a failed write.
-        used = [
-            int(n[len(_SNAPSHOT) :])
-            for n in _children(df.sparkSession, path) or []
-            if n.startswith(_SNAPSHOT)
-        ]
-        path = f"{path}/{_SNAPSHOT}{max(used, default=0) + 1}"
-    _writer(df, partition_by, cluster_by).mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(path)
+        path = f"{path}/{_SNAPSHOT}{_next_number(df.sparkSession, path)}"
+    _writer(df, None, cluster_by).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def prune_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
-    """Delete all but the newest ``keep`` snapshots and return their numbers."""
-    old = _snapshots(spark, path)[: -max(keep, 1)]
-    for number in old:
-        delete_path(spark, f"{path}/{_SNAPSHOT}{number}")
-    return old
+    """Delete what the newest ``keep`` states of the table do not use.
+
+    Returns the numbers of the snapshots that are gone as a whole.
+    """
+    keep = max(keep, 1)
+    lists = _numbers(spark, path, _DAYS)
+    if not lists:
+        old = _numbers(spark, path, _SNAPSHOT)[:-keep]
+        for number in old:
+            delete_path(spark, f"{path}/{_SNAPSHOT}{number}")
+        return old
+    used = {(folder, n) for number in lists[-keep:] for folder, n in _days_of(spark, path, number).items()}
+    for number in lists[:-keep]:
+        delete_path(spark, f"{path}/{_DAYS}{number}")
+    gone = []
+    for number in _numbers(spark, path, _SNAPSHOT, complete=False):
+        if number >= lists[-1]:
+            continue  # the newest state, or a write that goes on
+        folders = [n for n in _children(spark, f"{path}/{_SNAPSHOT}{number}") or [] if n.startswith(f"{DAY}=")]
+        unused = [n for n in folders if (n, number) not in used]
+        if len(unused) == len(folders):
+            delete_path(spark, f"{path}/{_SNAPSHOT}{number}")
+            gone.append(number)
+            continue
+        for name in unused:
+            delete_path(spark, f"{path}/{_SNAPSHOT}{number}/{name}")
+    return gone
 
 
 def merge_into(
@@ -193,7 +209,6 @@ def merge_into(
     keeps the newest source row per complete key by ``latest_by``.
     """
     spark = source.sparkSession
-    recover(spark, path)
     if not target_exists(spark, path):
         write_full(source, path, partition_by, cluster_by, snapshots=partition_by is None)
         return

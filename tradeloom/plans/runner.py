@@ -31,11 +31,11 @@ from tradeloom.operators.sink import (
     merge_into,
     prune_snapshots,
     read_target,
-    recover,
-    table_location,
+    table_paths,
     target_exists,
     write_full,
 )
+from tradeloom.plans.shared import SharedRows, share, sharing
 from tradeloom.session import stage, staged_tables
 from tradeloom.sources import RawSource, stamp
 from tradeloom.sources.raw import OFFSET, SOURCE_NO, tagged_scan
@@ -77,11 +77,12 @@ def _project(col: Col, shift: bool, raw: DataFrame) -> Column | str:
     return value.alias(col.name)
 
 
-def project(raw: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
+def project(raw: DataFrame, feed: Feed, cfg: Config, unnested: int = 0) -> DataFrame:
     """Filter, un-nest and project the raw rows of all sources.
 
     A nested field is read and cast right after its own level is un-nested,
-    before deeper levels multiply the rows.
+    before deeper levels multiply the rows. The first ``unnested`` levels of
+    the raw rows are un-nested already.
     """
     for column, value in feed.where_not:
         raw = raw.where(F.col(column) != F.lit(value))
@@ -90,15 +91,16 @@ def project(raw: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
     shift = feed.tz_aware and cfg.convert_timezone and bool(cfg.offset_hours)
     dotted = [k for step in feed.latest for k in step.keys if "." in k]
     done = set()
-    if feed.unnest and _chosen_before_unnest(feed):
+    if feed.unnest and not unnested and _chosen_before_unnest(feed):
         # Un-nesting drops no row: only the newest raw rows of a key can win.
         step = feed.latest[-1]
         order = [*step.order, *(c for c in (BATCH_RUNTIME, BATCH_ID) if c not in step.order)]
         named = {c.name: c for c in feed.columns}
         keys = [_raw_key(k, named, shift, raw) for k in step.keys]
         raw = keep_latest(raw, [*keys, F.col(SOURCE_NO)], order, ties="all", hot=False)
-    for path in feed.unnest:
-        raw = unnest(raw, path)
+    for depth, path in enumerate(feed.unnest):
+        if depth >= unnested:
+            raw = unnest(raw, path)
         level = path.rsplit(".", 1)[-1] + "."
         mine = [c for c in feed.columns if "leaf" in c.kind and c.path.startswith(level)]
         read = {c.name: _project(c, shift, raw) for c in mine}
@@ -228,16 +230,21 @@ def build(
     rates: Rates | DataFrame | None = None,
     loaded: int | None = None,
     prefix: str = "",
+    shared: SharedRows | None = None,
 ) -> DataFrame:
     """The staged rows of one feed over all its raw tables.
 
     ``loaded`` is the look-back watermark of an incremental run, ``None`` for
     a full refresh. ``prefix`` is the connector word in the raw lineage names.
+    With ``shared`` rows the raw tables themselves are not read.
     """
     cfg = cfg or Config()
-    schema = T.StructType.fromDDL(feed.raw_ddl)
-    raw = tagged_scan(spark, sources, schema, cfg, feed.tz_aware, loaded, prefix)
-    rows = project(raw, feed, cfg)
+    if shared is None:
+        schema = T.StructType.fromDDL(feed.raw_ddl)
+        raw, unnested = tagged_scan(spark, sources, schema, cfg, feed.tz_aware, loaded, prefix), 0
+    else:
+        raw, unnested = shared.of(feed, loaded)
+    rows = project(raw, feed, cfg, unnested)
     result = _distinct_rows(rows, feed, cfg)
     if feed.fx:
         if isinstance(rates, DataFrame) and cfg.convert_currency:
@@ -257,6 +264,7 @@ def run_feed(
     prefix: str = "",
     full_refresh: bool = False,
     on_duplicate: str = "error",
+    shared: SharedRows | None = None,
 ) -> None:
     """Full refresh on the first run, else watermark, transform and merge.
 
@@ -265,15 +273,14 @@ def run_feed(
     """
     cfg = cfg or Config()
     with staged_tables(spark):
-        recover(spark, target)
-        if full_refresh or not target_exists(spark, target):
-            rows = build(spark, feed, sources, cfg, rates, None, prefix)
+        loaded = _loaded(spark, target, cfg, full_refresh)
+        rows = build(spark, feed, sources, cfg, rates, loaded, prefix, shared)
+        if loaded is None:
             snapshots = feed.partition_by is None
             write_full(rows, target, feed.partition_by, feed.cluster_by, snapshots=snapshots)
             return
-        loaded = loaded_at(spark, table_location(spark, target), cfg.lookback_ms)
         # Written once: the merge reads it for days, repeated keys and rows.
-        rows = stage(build(spark, feed, sources, cfg, rates, loaded, prefix), feed.name)
+        rows = stage(rows, feed.name)
         merge_into(
             target,
             rows,
@@ -284,8 +291,14 @@ def run_feed(
             on_duplicate,
             latest_by=(BATCH_RUNTIME, BATCH_ID),
         )
-    if feed.partition_by is None:
-        prune_snapshots(spark, target)
+    prune_snapshots(spark, target)
+
+
+def _loaded(spark: SparkSession, target: str, cfg: Config, full_refresh: bool) -> int | None:
+    """Where the look-back begins; None if the whole table is written."""
+    if full_refresh or not target_exists(spark, target):
+        return None
+    return loaded_at(spark, table_paths(spark, target), cfg.lookback_ms)
 
 
 @dataclass(frozen=True)
@@ -315,26 +328,46 @@ def run_all(
 ) -> list[FeedRun]:
     """Run every enabled feed into ``cfg.out_dir`` and tell how each ended.
 
-    ``find_sources(like)`` lists the raw tables of one name pattern. A feed
-    that fails does not stop the others. With ``check`` the declared checks run
-    after each load; failures of severity ``error`` fail the feed.
+    ``find_sources(like)`` lists the raw tables of one name pattern. Nested
+    feeds over the same raw tables share one scan of them. A feed that fails
+    does not stop the others. With ``check`` the declared checks run after each
+    load; failures of severity ``error`` fail the feed.
     """
     if not cfg.out_dir:
         raise ValueError("a whole run needs Config.out_dir")
     measured = Rates.measure(rates) if cfg.convert_currency and rates is not None else None
-    ended = []
-    for name, item in feeds.items():
-        if not cfg.is_enabled(name):
-            continue
-        target = f"{cfg.out_dir}/{name}"
-        try:
-            sources = find_sources(item.like)
-            run_feed(spark, item, sources, target, cfg, measured, prefix, full_refresh, on_duplicate)
-            failed = failed_checks(spark, item, target, cfg, as_of) if check else ()
-            ended.append(FeedRun(name, failed_checks=failed))
-        except Exception as error:  # the other feeds go on; the caller sees what failed
-            ended.append(FeedRun(name, error=f"{type(error).__name__}: {error}"))
-    return ended
+    chosen = {name: item for name, item in feeds.items() if cfg.is_enabled(name)}
+    ended = {}
+    for group in sharing(chosen):
+        with staged_tables(spark):
+            shared = _share(spark, group, find_sources, cfg, prefix, full_refresh) if len(group) > 1 else None
+            for name, item in group.items():
+                target = f"{cfg.out_dir}/{name}"
+                try:
+                    sources = [] if shared else find_sources(item.like)
+                    run_feed(spark, item, sources, target, cfg, measured, prefix, full_refresh, on_duplicate, shared)
+                    failed = failed_checks(spark, item, target, cfg, as_of) if check else ()
+                    ended[name] = FeedRun(name, failed_checks=failed)
+                except Exception as error:  # the other feeds go on; the caller sees what failed
+                    ended[name] = FeedRun(name, error=f"{type(error).__name__}: {error}")
+    return [ended[name] for name in chosen]
+
+
+def _share(
+    spark: SparkSession, group: Mapping[str, Feed], find_sources, cfg: Config, prefix: str, full_refresh: bool
+) -> SharedRows | None:
+    """One scan for the feeds of a group.
+
+    None if it fails, for instance on a field that only one feed reads: each
+    feed then reads the raw tables on its own, and those that cannot say why.
+    """
+    try:
+        marks = [_loaded(spark, f"{cfg.out_dir}/{name}", cfg, full_refresh) for name in group]
+        loaded = None if None in marks else min(marks)
+        sources = find_sources(next(iter(group.values())).like)
+        return share(spark, list(group.values()), sources, cfg, loaded, prefix)
+    except Exception:
+        return None
 
 
 def failed_checks(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -57,7 +57,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
-def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str, path: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     Cuts the lineage, survives lost executors, and gives later joins the real
@@ -70,7 +70,7 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     owned = _OWNED.get()
     if owned is not None:
         owned.append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
