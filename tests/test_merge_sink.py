@@ -95,6 +95,16 @@ def test_a_run_that_breaks_off_loses_nothing(spark, target, rows, tmp_path, monk
     assert rows(read_target(spark, path), "k", "v") == [(None, 1), ("a", 7), ("b", 8)]
 
 
+def test_days_without_a_list_are_not_merged_into(spark, target, tmp_path):
+    path = f"{tmp_path}/t"
+    target.withColumn(DAY, F.to_date("at")).write.partitionBy(DAY).parquet(path)
+    with pytest.raises(ValueError, match="full refresh"):
+        merge_into(path, target, ["k"], partition_by="at")
+    write_full(target, path, partition_by="at")
+    merge_into(path, target, ["k"], partition_by="at")
+    assert read_target(spark, path).count() == 4
+
+
 def test_old_days_stay_until_pruned(spark, target, rows, tmp_path):
     path = f"{tmp_path}/t"
     merge_into(path, target, ["k"], partition_by="at")

@@ -113,6 +113,8 @@ def _put_days(df: DataFrame, path: str, days, partition_by: str, cluster_by: Seq
     """Replace ``days`` of the table at ``path``, all if None, by the rows of ``df``."""
     spark = df.sparkSession
     lists = _numbers(spark, path, _DAYS)
+    if days is not None and not lists:
+        raise ValueError(f"{path} has no list of days; write it with a full refresh")
     number = _next_number(spark, path)
     _writer(df, partition_by, cluster_by).parquet(f"{path}/{_SNAPSHOT}{number}")
     held: dict[str, int] = {}
