@@ -15,6 +15,7 @@ from tradeloom.llm.qgram_filter import (
     edit_budget,
     find_passages,
     normal,
+    passages_of,
 )
 from tradeloom.llm.queries import QUERIES
 
@@ -137,3 +138,58 @@ def test_hashes_tell_grams_apart():
     codes = codes_of("abcdefghabcdefgh")
     hashes = qgram_filter.qgram_hashes(codes, 8)
     assert hashes[0] == hashes[8] and len(np.unique(hashes)) == 8
+
+
+def test_cut_items_lose_nothing():
+    rng = random.Random(9)
+    for _ in range(300):
+        n = rng.randrange(1, 1500)
+        parts = passages_of("".join(rng.choice("abcd") for _ in range(n)))
+        whole = parts[::2]
+        sizes = [len(p) for p in whole]
+        assert sum(sizes) == n and max(map(len, parts)) <= qgram_filter.PASSAGE_CHARS
+        # however the allowed edits fall, one passage keeps within its own budget
+        assert sum(edit_budget(size) + 1 for size in sizes) > edit_budget(n)
+
+
+def test_quotes_of_most_of_an_item(spark, prose):
+    items, texts = prose
+    rng = random.Random(4)
+    long = [(k, t) for k, t in items if len(normal(t)) > qgram_filter.PASSAGE_CHARS]
+    rows = []
+    for key, text in long:
+        text = normal(text)
+        size = int(0.85 * len(text))
+        at = rng.randrange(len(text) - size + 1)
+        rows.append((key, f"{texts[key][:200]} {text[at : at + size]} {texts[key + 1][:200]}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.id: {x.item_id for x in r.regions} for r in find_passages(docs, bench).collect()}
+    assert len(rows) > 10 and all(key in got[key] for key, _ in rows)
+
+
+def test_many_chunks_equal_one(spark, prose, monkeypatch):
+    items, texts = prose
+    made = [(n, f"{t[:500]} {items[n % len(items)][1]} {items[n % 7][1]} {t[:90]}") for n, t in enumerate(texts[:40])]
+    docs = spark.createDataFrame([*made, (None, None), (41, ""), (42, texts[0][:60]), made[0]], "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (None, "an item that has no id " * 30)], "item_id long, text string")
+    docs = docs.unionByName(spark.createDataFrame([(43, "x " + "an item that has no id " * 30)], docs.schema))
+
+    def found():
+        return sorted(str((r.id, sorted(map(str, r.regions)))) for r in find_passages(docs, bench).collect())
+
+    one, kept = found(), sorted(r.doc_id for r in drop_contaminated(docs, bench).where("doc_id > 0").collect())
+    assert kept == [41, 42] and any("item_id=None" in r for r in one)
+    monkeypatch.setattr(qgram_filter, "CHUNK_CHARS", 1500)
+    assert len(list(qgram_filter._chunks(bench, 8))) > 5
+    assert found() == one
+    assert sorted(r.doc_id for r in drop_contaminated(docs, bench).where("doc_id > 0").collect()) == kept
+
+
+def test_pairs_in_blocks(prose, monkeypatch):
+    items, texts = prose
+    index = Passages(items)
+    made = [f"{t[:300]} {items[n % len(items)][1]} {t[300:900]}" for n, t in enumerate(texts[:60])]
+    whole = index.find_all(made)
+    monkeypatch.setattr(qgram_filter, "_PAIR_BLOCK", 50)
+    assert index.find_all(made) == whole and all(whole)

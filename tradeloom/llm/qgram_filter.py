@@ -12,28 +12,42 @@ are verified by an alignment limited to the band's diagonals.
 Texts are compared in lower case with white space runs as one space. The edit
 budget is a tenth of the passage's length by default, less where so many edits
 would leave no q-gram.
+
+An item of more than ``PASSAGE_CHARS`` characters is cut into passages of equal
+length, and again half a passage further on. One of the former has at most a
+tenth of its characters edited wherever the item as a whole has, so cutting
+loses nothing, and a quote of one and a half passages in a row is found also
+where the rest of the item is missing.
+
+Passages are looked for in chunks of ``CHUNK_CHARS`` characters, the most that
+a task holds an index of: one pass over the texts per chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import id_and_text, release_memory, text_slices
+from tradeloom.llm.common import id_and_text, release_memory, stage, text_slices
+from tradeloom.session import scratch_path
 
 Q = 8
 EDIT_RATE = 0.1
 TABLE_BITS = 22
-MAX_BENCHMARK_CHARS = 64_000_000
+PASSAGE_CHARS = 160
+CHUNK_CHARS = 4_000_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _TEXT_BLOCK = 1 << 20
 _GROUP_CHARS = 1 << 18
 _SLOT_BITS = 18
+_PAIR_BLOCK = 1 << 22
+_BUCKETS = 1 << 16
 _OUTSIDE = 0xFFFFFFFF  # no code point
 
 
@@ -62,6 +76,15 @@ def edit_budget(length: int, rate: float = EDIT_RATE, q: int = Q) -> int:
     return min(int(rate * length), length // q - 1)
 
 
+def passages_of(item: str, length: int = PASSAGE_CHARS) -> list[str]:
+    """The passages that stand for an item, given and returned in normal form."""
+    count = -(-len(item) // length)
+    if count < 2:
+        return [item]
+    edges = [len(item) * i // (2 * count) for i in range(2 * count + 1)]
+    return [item[edges[i] : edges[i + 2]] for i in range(2 * count - 1)]
+
+
 def banded_alignment(
     passage: np.ndarray, text: np.ndarray, low: int, high: int, most: int
 ) -> tuple[int, int] | None:
@@ -93,16 +116,16 @@ def banded_alignment(
 
 @dataclass(frozen=True)
 class Region:
-    item: int
+    item: int | None
     start: int  # in the normal form of the text
     end: int
     edits: int
 
 
 class Passages:
-    """The q-gram index of a benchmark, built once per Python worker."""
+    """The q-gram index of a chunk of passages, built once per Python worker."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int = Q, rate: float = EDIT_RATE):
+    def __init__(self, items: list[tuple[int | None, str]], q: int = Q, rate: float = EDIT_RATE):
         self.q = q
         self.items = [(key, codes) for key, text in items if len(codes := codes_of(normal(text))) >= q]
         self.lengths = np.array([len(c) for _, c in self.items], dtype=np.int64)
@@ -148,19 +171,42 @@ class Passages:
         np.add.at(marks, begins + self.least, -1)
         return np.cumsum(marks[:-1]) > 0
 
+    def _pairs(self, at: np.ndarray, key: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Hits with the passages that hold them, in blocks:
+        ``(item, half band, text position, place in the passage)``."""
+        counts = self.count[key]
+        block = (np.cumsum(counts) - counts) // _PAIR_BLOCK
+        for own in np.split(np.arange(len(at)), np.flatnonzero(np.diff(block)) + 1):
+            held = counts[own]
+            text_at = np.repeat(at[own], held)
+            offset = np.arange(len(text_at)) - np.repeat(np.cumsum(held) - held, held)
+            posting = np.repeat(self.first[key[own]], held) + offset
+            item, place = self.posting_item[posting], self.posting_place[posting]
+            yield item, np.floor_divide(text_at - place, 2 * self.budgets[item] + 1), text_at, place
+
     def _candidates(self, codes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """``(item, band start, first, last text position)`` that reach the bound."""
         at, key = self._hits(codes)
         kept = self._crowded(at)
         at, key = at[kept], key[kept]
-        counts = self.count[key]
-        text_at = np.repeat(at, counts)
-        offset = np.arange(len(text_at)) - np.repeat(np.cumsum(counts) - counts, counts)
-        posting = np.repeat(self.first[key], counts) + offset
-        item, place = self.posting_item[posting], self.posting_place[posting]
-        lower = np.floor_divide(text_at - place, 2 * self.budgets[item] + 1)
-        for band in (lower, lower - 1):  # a band is two half bands; every hit counts in two bands
-            yield from self._dense(item, band, text_at, place)
+        if not len(at):
+            return
+        few = list(self._pairs(at, key)) if self.count[key].sum() <= _PAIR_BLOCK else None
+        for shift in (0, 1):  # a band is two half bands; every hit counts in two bands
+            # counts per slot are never below counts per cell
+            slots = np.zeros(1 << _SLOT_BITS, dtype=np.int64)
+            for item, half, _, _ in few or self._pairs(at, key):
+                slots += np.bincount(self._cell_slot(item, half - shift), minlength=len(slots))
+            held = []
+            for item, half, text_at, place in few or self._pairs(at, key):
+                kept = slots[self._cell_slot(item, half - shift)] >= self.bounds[item]
+                held.append((item[kept], half[kept] - shift, text_at[kept], place[kept]))
+            yield from self._dense(*map(np.concatenate, zip(*held, strict=True)))
+
+    @staticmethod
+    def _cell_slot(item: np.ndarray, band: np.ndarray) -> np.ndarray:
+        mixed = item.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + band.astype(np.uint64)
+        return (mixed * _FACTOR >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
 
     def _dense(
         self, item: np.ndarray, band: np.ndarray, text_at: np.ndarray, place: np.ndarray
@@ -169,14 +215,8 @@ class Passages:
             return
         low = int(band.min())
         cell = item * (int(band.max()) - low + 1) + (band - low)
-        # counts per slot are never below counts per cell
-        slot = (cell.astype(np.uint64) * _FACTOR >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-        kept = np.bincount(slot, minlength=1 << _SLOT_BITS)[slot] >= self.bounds[item]
-        order = np.flatnonzero(kept)
-        order = order[np.argsort(cell[order], kind="stable")]  # text positions stay ascending
+        order = np.argsort(cell, kind="stable")  # text positions stay ascending
         cell, item, band, text_at, place = cell[order], item[order], band[order], text_at[order], place[order]
-        if not len(cell):
-            return
         edge = np.flatnonzero(np.diff(cell)) + 1
         starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(cell)]])
         enough = ends - starts >= self.bounds[item[starts]]
@@ -280,7 +320,7 @@ class Passages:
 
 def _merged(regions: list[Region]) -> list[Region]:
     out: list[Region] = []
-    for r in sorted(regions, key=lambda r: (r.item, r.start)):
+    for r in sorted(regions, key=lambda r: (r.item is None, r.item or 0, r.start)):
         if out and out[-1].item == r.item and r.start < out[-1].end:
             last = out.pop()
             r = Region(r.item, last.start, max(last.end, r.end), min(last.edits, r.edits))
@@ -288,19 +328,46 @@ def _merged(regions: list[Region]) -> list[Region]:
     return out
 
 
-def benchmark_passages(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[tuple[int, str]]:
-    """The passages to look for. They go to every task, so their size is checked."""
-    rows = id_and_text(benchmark, id_col, text_col).where("text <> ''")
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    if chars > MAX_BENCHMARK_CHARS:
-        raise ValueError(f"{chars} characters of passages; split the benchmark, {MAX_BENCHMARK_CHARS} are allowed")
-    return [(r["id"], r["text"]) for r in rows.orderBy("id", "text").collect()]
+def benchmark_passages(
+    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", q: int = Q
+) -> DataFrame:
+    """``(id, text, bucket)`` of the different passages of all items with ``q`` characters."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                parts = passages_of(item) if len(item := normal(text)) >= q else []
+                columns = [pa.array([key] * len(parts), pa.int64()), pa.array(parts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "text"])
+
+    rows = id_and_text(benchmark, id_col, text_col).mapInArrow(cut, "id long, text string").distinct()
+    return rows.withColumn("bucket", F.pmod(F.xxhash64("id", "text"), F.lit(_BUCKETS)))
+
+
+def _chunks(benchmark: DataFrame, q: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The passages in lists of at most ``CHUNK_CHARS`` characters, at least one list.
+
+    A list is what one pass broadcasts. Passages are short and different, so a
+    bucket holds an even part of them: one alone is longer than a list only
+    beyond 65,536 lists.
+    """
+    passages = stage(benchmark_passages(benchmark, q=q), "passages")
+    sizes = passages.groupBy("bucket").agg(F.sum(F.length("text")).alias("n")).orderBy("bucket").collect()
+    ends, total = [], 0
+    for row in sizes:  # at most one row per bucket
+        if total and total + row["n"] > CHUNK_CHARS:
+            ends.append(row["bucket"])
+            total = 0
+        total += row["n"]
+    for low, high in zip([0, *ends], [*ends, _BUCKETS], strict=True):
+        own = passages.where((F.col("bucket") >= low) & (F.col("bucket") < high))
+        yield [(r["id"], r["text"]) for r in own.orderBy("id", "text").collect()]
 
 
 _INDEXES: dict[tuple, Passages] = {}
 
 
-def _index(items: list[tuple[int, str]], q: int, rate: float) -> Passages:
+def _index(items: list[tuple[int | None, str]], q: int, rate: float) -> Passages:
     key = (hash(tuple(items)), len(items), q, rate)
     if key not in _INDEXES:
         _INDEXES.clear()
@@ -308,11 +375,38 @@ def _index(items: list[tuple[int, str]], q: int, rate: float) -> Passages:
     return _INDEXES[key]
 
 
-def _shared(benchmark: DataFrame):
-    return benchmark.sparkSession.sparkContext.broadcast(benchmark_passages(benchmark))
+_REGIONS = "regions array<struct<item_id:long,start:long,end:long,edits:int>>"
+_REGION_TYPE = pa.list_(
+    pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
+)
+
+
+def _region_column(found: list[list[Region]]) -> pa.Array:
+    rows = [[{"item_id": r.item, "start": r.start, "end": r.end, "edits": r.edits} for r in g] for g in found]
+    return pa.array(rows, _REGION_TYPE)
+
+
+def _search(rows: DataFrame, items: list[tuple[int | None, str]], q: int, rate: float) -> DataFrame:
+    """``rows`` with the regions of the given passages in place of ``text``, the last column."""
+    shared = rows.sparkSession.sparkContext.broadcast(items)
+    keys = [c for c in rows.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _index(shared.value, q, rate)
+        for batch in text_slices(batches, "text"):
+            found = _region_column(index.find_all(batch.column("text").to_pylist()))
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keys), found], [*keys, "regions"])
 
+    return rows.mapInArrow(run, ", ".join([*(f"{k} long" for k in keys), _REGIONS]))
 
-_FOUND = "id long, regions array<struct<item_id:long,start:long,end:long,edits:int>>"
+
+def _join_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [
+            _merged([Region(r["item_id"], r["start"], r["end"], r["edits"]) for r in regions or ()])
+            for regions in batch.column("regions").to_pylist()
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), _region_column(found)], ["id", "regions"])
 
 
 def find_passages(
@@ -326,37 +420,49 @@ def find_passages(
     """``(id, regions)`` per row of ``docs``; no regions for a clean text.
 
     ``start`` and ``end`` bound the region in the lower-cased text with single
-    spaces. A NULL or empty text has none. Passages that are NULL or shorter
-    than ``q`` characters are not looked for. Repeated rows are judged alike.
-    Only the id and text columns are read; empty tables give no rows, an empty
-    benchmark no regions.
+    spaces. Overlapping regions of one item are one region, with the edits of
+    the passage that has fewest. A NULL or empty text has none. Items that are
+    NULL or shorter than ``q`` characters are not looked for; an item with a
+    NULL id is reported as NULL. Repeated rows are judged alike. Only the id
+    and text columns are read; empty tables give no rows, an empty benchmark
+    no regions.
     """
-    items = _shared(benchmark)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(items.value, q, rate)
-        for batch in batches:
-            found = [
-                [{"item_id": r.item, "start": r.start, "end": r.end, "edits": r.edits} for r in regions]
-                for regions in index.find_all(batch.column("text").to_pylist())
-            ]
-            kind = pa.list_(
-                pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
-            )
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, kind)], ["id", "regions"])
-
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, _FOUND)
+    rows = id_and_text(docs, id_col, text_col)
+    chunks = _chunks(benchmark, q)
+    items, more = next(chunks), next(chunks, None)
+    if more is None:
+        return _search(rows, items, q, rate)
+    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "texts")
+    folder = scratch_path(docs.sparkSession, "regions")
+    for number, chunk in enumerate(chain([items, more], chunks)):
+        found = _search(rows.select("row", "text"), chunk, q, rate).where("size(regions) > 0")
+        stage(found, "regions", f"{folder}/chunk={number}")
+    by_row = docs.sparkSession.read.parquet(folder).groupBy("row")
+    found = by_row.agg(F.flatten(F.collect_list("regions")).alias("regions"))
+    whole = rows.select("row", "id").join(found, "row", "left").select("id", "regions")
+    return whole.mapInArrow(_join_regions, f"id long, {_REGIONS}")
 
 
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", q: int = Q, rate: float = EDIT_RATE
 ) -> DataFrame:
     """The rows of ``docs`` in whose text no passage is found; columns stay."""
-    items = _shared(benchmark)
+    chunks = _chunks(benchmark, q)
+    items = next(chunks)
+    for more in chunks:
+        docs = stage(_without(docs, items, text_col, q, rate), "unseen")
+        items = more
+    return _without(docs, items, text_col, q, rate)
+
+
+def _without(
+    docs: DataFrame, items: list[tuple[int | None, str]], text_col: str, q: int, rate: float
+) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(items.value, q, rate)
+        index = _index(shared.value, q, rate)
         for batch in text_slices(batches, at):
             found = index.find_all(batch.column(at).to_pylist())
             yield batch.filter(pa.array([not regions for regions in found], pa.bool_()))
