@@ -989,9 +989,7 @@ def dq_recency(spark, sf_dir):
     )
 
 
-@_register(
-    "dq_suite",
-    """SELECT 'unique' AS "check", 'o_custkey,o_orderdate' AS columns, 'error' AS severity,
+SUITE_SQL = """SELECT 'unique' AS "check", 'o_custkey,o_orderdate' AS columns, 'error' AS severity,
     (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderdate
     HAVING count(*) > 1) AS g) AS failures, '' AS note
     UNION ALL SELECT 'not_null', 'o_orderdate', 'warn',
@@ -1001,15 +999,26 @@ def dq_recency(spark, sf_dir):
     UNION ALL SELECT 'recent', 'o_orderdate', 'error',
     (SELECT CASE WHEN max(o_orderdate) < TIMESTAMP '2001-08-19 00:00:00' THEN 1 ELSE 0 END
     FROM orders WHERE o_orderdate <= TIMESTAMP '2001-08-20 00:00:00'), ''
-    UNION ALL SELECT 'not_null', 'posteddate', 'error', NULL, 'no column posteddate'""",
+    UNION ALL SELECT 'not_null', 'posteddate', 'error', NULL, 'no column posteddate'"""
+SUITE = (
+    Check("unique", ("o_custkey", "o_orderdate")),
+    Check("not_null", ("o_orderdate",), severity="warn"),
+    Check("accepted", ("o_orderstatus",), values=("F", "O")),
+    Check("recent", ("o_orderdate",), days=1),
+    Check("not_null", ("posteddate",)),
 )
+
+
+@_register("dq_suite", SUITE_SQL)
 def dq_suite(spark, sf_dir):
-    checks = [
-        Check("unique", ("o_custkey", "o_orderdate")),
-        Check("not_null", ("o_orderdate",), severity="warn"),
-        Check("accepted", ("o_orderstatus",), values=("F", "O")),
-        Check("recent", ("o_orderdate",), days=1),
-        Check("not_null", ("posteddate",)),
-    ]
-    return ops.run_checks(raw.table(spark, sf_dir, "orders"), checks, as_of="2001-08-20 00:00:00")
+    return ops.run_checks(raw.table(spark, sf_dir, "orders"), SUITE, as_of="2001-08-20 00:00:00")
+
 
+@_register("dq_during_write", SUITE_SQL)
+def dq_during_write(spark, sf_dir):
+    """The same suite, measured while the orders are written by day."""
+    path = scratch_path(spark, "checked")
+    checks = ops.WriteChecks(SUITE, as_of="2001-08-20 00:00:00")
+    orders = raw.table(spark, sf_dir, "orders")
+    ops.write_full(orders, path, partition_by="o_orderdate", cluster_by=["o_orderkey"], checks=checks)
+    return checks.report(ops.read_target(spark, path))

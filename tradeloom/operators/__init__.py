@@ -1,5 +1,6 @@
 from tradeloom.operators.bucketed import merge_bucketed, prune_versions, write_bucketed
 from tradeloom.operators.checks import (
+    WriteChecks,
     null_violations,
     recency_violations,
     run_checks,
@@ -16,6 +17,7 @@ from tradeloom.operators.sink import merge_into, read_target, target_exists, wri
 
 __all__ = [
     "Rates",
+    "WriteChecks",
     "duplicate_matches",
     "footer_watermark",
     "has_hot_group",

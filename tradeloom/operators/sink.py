@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeloom.operators.checks import WriteChecks
 from tradeloom.operators.latest import keep_latest
 from tradeloom.operators.merge import duplicate_matches, matched_rows, merge_upsert, repeated_keys
 from tradeloom.session import delete_path
@@ -109,14 +111,16 @@ def _day_folder(day) -> str:
     return f"{DAY}={_NO_DAY if day is None else day.isoformat()}"
 
 
-def _put_days(df: DataFrame, path: str, days, partition_by: str, cluster_by: Sequence[str]) -> None:
+def _put_days(
+    df: DataFrame, path: str, days, partition_by: str, cluster_by: Sequence[str], checks: WriteChecks | None = None
+) -> None:
     """Replace ``days`` of the table at ``path``, all if None, by the rows of ``df``."""
     spark = df.sparkSession
     lists = _numbers(spark, path, _DAYS)
     if days is not None and not lists:
         raise ValueError(f"{path} has no list of days; write it with a full refresh")
     number = _next_number(spark, path)
-    _writer(df, partition_by, cluster_by).parquet(f"{path}/{_SNAPSHOT}{number}")
+    _writer(df, partition_by, cluster_by, checks).parquet(f"{path}/{_SNAPSHOT}{number}")
     held: dict[str, int] = {}
     if days is not None and lists:
         gone = set(map(_day_folder, days))
@@ -128,14 +132,22 @@ def _put_days(df: DataFrame, path: str, days, partition_by: str, cluster_by: Seq
 
 
 def _list_days(spark: SparkSession, at: str, days: dict[str, int]) -> None:
-    spark.createDataFrame(sorted(days.items()), _DAYS_DDL).coalesce(1).write.parquet(at)
+    folders = sorted(days)
+    columns = [pa.array(folders, pa.string()), pa.array([days[f] for f in folders], pa.int32())]
+    # from Arrow: local rows, no Python workers
+    listed = spark.createDataFrame(pa.table(columns, ["folder", "snapshot"]))
+    listed.coalesce(1).write.parquet(at)
 
 
-def _writer(df: DataFrame, partition_by: str | None, cluster_by: Sequence[str]):
-    if partition_by is None:
-        return clustered(df, cluster_by, day=False).write
-    df = df.withColumn(DAY, F.to_date(partition_by))
-    return clustered(df, cluster_by, day=True).write.partitionBy(DAY)
+def _writer(
+    df: DataFrame, partition_by: str | None, cluster_by: Sequence[str], checks: WriteChecks | None = None
+):
+    if partition_by is not None:
+        df = df.withColumn(DAY, F.to_date(partition_by))
+    df = clustered(df, cluster_by, day=partition_by is not None)
+    if checks is not None:
+        df = checks.watch(df)
+    return df.write if partition_by is None else df.write.partitionBy(DAY)
 
 
 def write_full(
@@ -144,19 +156,21 @@ def write_full(
     partition_by: str | None = None,
     cluster_by: Sequence[str] = (),
     snapshots: bool = False,
+    checks: WriteChecks | None = None,
 ) -> None:
     """Replace the whole table.
 
     Day-partitioned tables, and others with ``snapshots``, are written to a new
     numbered folder that readers take once it is complete; the folders read
-    from are never written to.
+    from are never written to. ``checks`` are measured on the rows written.
     """
     if partition_by is not None:
-        _put_days(df, path, None, partition_by, cluster_by)
+        _put_days(df, path, None, partition_by, cluster_by, checks)
         return
     if snapshots:
         path = f"{path}/{_SNAPSHOT}{_next_number(df.sparkSession, path)}"
-    _writer(df, None, cluster_by).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    writer = _writer(df, None, cluster_by, checks).mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").parquet(path)
 
 
 def prune_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
@@ -198,6 +212,7 @@ def merge_into(
     cluster_by: Sequence[str] = (),
     on_duplicate: str = "error",
     latest_by: Sequence[str] = (),
+    checks: WriteChecks | None = None,
 ) -> None:
     """Merge ``source``, best a written table, into the table at ``path``.
 
@@ -208,11 +223,12 @@ def merge_into(
 
     Source rows that share a key with each other and with a target row have
     no single result: ``on_duplicate="error"`` refuses them, ``"latest"`` first
-    keeps the newest source row per complete key by ``latest_by``.
+    keeps the newest source row per complete key by ``latest_by``. ``checks``
+    are measured where the whole table is written, not on single days.
     """
     spark = source.sparkSession
     if not target_exists(spark, path):
-        write_full(source, path, partition_by, cluster_by, snapshots=partition_by is None)
+        write_full(source, path, partition_by, cluster_by, snapshots=partition_by is None, checks=checks)
         return
     if on_duplicate == "latest":
         complete = _all_present(keys)
@@ -240,7 +256,7 @@ def merge_into(
             raise ValueError(f"several source rows match one target row: {clash.asDict()}")
     merged = merge_upsert(target, source, keys, exclude)
     if partition_by is None:
-        write_full(merged, path, partition_by, cluster_by, snapshots=True)
+        write_full(merged, path, partition_by, cluster_by, snapshots=True, checks=checks)
     elif days:
         _put_days(merged, path, days, partition_by, cluster_by)
 

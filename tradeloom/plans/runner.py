@@ -21,7 +21,7 @@ from tradeloom.config import (
     Latest,
 )
 from tradeloom.functions import as_utc, cast_leaf, day_of, default_key, shift_hours
-from tradeloom.operators.checks import run_checks
+from tradeloom.operators.checks import WriteChecks, run_checks
 from tradeloom.operators.fx import Rates, with_exchange_rate
 from tradeloom.operators.incremental import loaded_at
 from tradeloom.operators.latest import keep_latest
@@ -202,11 +202,14 @@ def _distinct_rows(rows: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
 
     Keep-latest with ties and the numbering put whole groups into one task, so
     the largest group is measured first, on the key columns alone. Without a
-    hot group one shuffle on the shorter key serves both windows.
+    hot group one shuffle on the shorter key serves all windows.
     """
     seq = feed.sequence
     if seq and seq.before_last:
-        hot = has_hot_group(rows, _group(seq.keys, seq.per_source), cfg.hot_rows)
+        group = _group(seq.keys, seq.per_source)
+        hot = has_hot_group(rows, group, cfg.hot_rows)
+        if not hot and all(set(seq.keys) <= set(s.keys) for s in feed.latest):
+            rows = rows.repartition(*group)
         rows = _deduplicate(rows, feed, hot, feed.latest[:-1])
         return _deduplicate(_number(rows, feed, cfg, hot), feed, hot, feed.latest[-1:])
     if feed.latest[-1].ties == "one":
@@ -265,11 +268,13 @@ def run_feed(
     full_refresh: bool = False,
     on_duplicate: str = "error",
     shared: SharedRows | None = None,
+    checks: WriteChecks | None = None,
 ) -> None:
     """Full refresh on the first run, else watermark, transform and merge.
 
     Intermediate tables go to the shared folder and are deleted at the end,
-    also after an error.
+    also after an error. ``checks`` are measured on the way, where the whole
+    table is written.
     """
     cfg = cfg or Config()
     with staged_tables(spark):
@@ -277,7 +282,7 @@ def run_feed(
         rows = build(spark, feed, sources, cfg, rates, loaded, prefix, shared)
         if loaded is None:
             snapshots = feed.partition_by is None
-            write_full(rows, target, feed.partition_by, feed.cluster_by, snapshots=snapshots)
+            write_full(rows, target, feed.partition_by, feed.cluster_by, snapshots, checks)
             return
         # Written once: the merge reads it for days, repeated keys and rows.
         rows = stage(rows, feed.name)
@@ -290,6 +295,7 @@ def run_feed(
             feed.cluster_by,
             on_duplicate,
             latest_by=(BATCH_RUNTIME, BATCH_ID),
+            checks=checks,
         )
     prune_snapshots(spark, target)
 
@@ -330,8 +336,9 @@ def run_all(
 
     ``find_sources(like)`` lists the raw tables of one name pattern. Nested
     feeds over the same raw tables share one scan of them. A feed that fails
-    does not stop the others. With ``check`` the declared checks run after each
-    load; failures of severity ``error`` fail the feed.
+    does not stop the others. With ``check`` the declared checks are measured
+    during each load, or after it where only some days are written; failures of
+    severity ``error`` fail the feed.
     """
     if not cfg.out_dir:
         raise ValueError("a whole run needs Config.out_dir")
@@ -345,8 +352,11 @@ def run_all(
                 target = f"{cfg.out_dir}/{name}"
                 try:
                     sources = [] if shared else find_sources(item.like)
-                    run_feed(spark, item, sources, target, cfg, measured, prefix, full_refresh, on_duplicate, shared)
-                    failed = failed_checks(spark, item, target, cfg, as_of) if check else ()
+                    checks = WriteChecks(item, as_of, cfg.recency_timezone) if check else None
+                    run_feed(
+                        spark, item, sources, target, cfg, measured, prefix, full_refresh, on_duplicate, shared, checks
+                    )
+                    failed = failed_checks(checks.report(read_target(spark, target))) if check else ()
                     ended[name] = FeedRun(name, failed_checks=failed)
                 except Exception as error:  # the other feeds go on; the caller sees what failed
                     ended[name] = FeedRun(name, error=f"{type(error).__name__}: {error}")
@@ -370,12 +380,10 @@ def _share(
         return None
 
 
-def failed_checks(
-    spark: SparkSession, feed: Feed, target: str, cfg: Config | None = None, as_of: str | None = None
-) -> tuple[str, ...]:
-    """Checks of severity ``error`` that the staged table fails; one row per check."""
-    report = check_feed(spark, feed, target, cfg, as_of).where("severity = 'error' and failures > 0")
-    return tuple(f"{r['check']}({r['columns']})" for r in report.collect())
+def failed_checks(report: DataFrame) -> tuple[str, ...]:
+    """Checks of severity ``error`` with failures; a report has one row per check."""
+    failed = report.where("severity = 'error' and failures > 0").collect()
+    return tuple(f"{r['check']}({r['columns']})" for r in failed)
 
 
 def check_feed(
