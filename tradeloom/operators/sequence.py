@@ -60,6 +60,14 @@ def has_hot_group(df: DataFrame, keys: Sequence[Column | str], hot_rows: int) ->
     return not _sizes(df, keys, names).where(F.col("_size") > hot_rows).isEmpty()
 
 
+def group_sizes(df: DataFrame, keys: Sequence[Column | str]) -> tuple[int, int]:
+    """Rows of the largest key, and rows in all; reads only the key columns."""
+    keys = _cols(keys)
+    sizes = _sizes(df, keys, [f"_hot_key{i}" for i in range(len(keys))])
+    largest, total = sizes.agg(F.max("_size"), F.sum("_size")).first()
+    return largest or 0, total or 0
+
+
 def _cols(items: Sequence[Column | str]) -> list[Column]:
     return [F.col(i) if isinstance(i, str) else i for i in items]
 

@@ -26,7 +26,7 @@ from tradeloom.operators.fx import Rates, with_exchange_rate
 from tradeloom.operators.incremental import loaded_at
 from tradeloom.operators.latest import keep_latest
 from tradeloom.operators.nested import unnest
-from tradeloom.operators.sequence import has_hot_group, number_rows
+from tradeloom.operators.sequence import group_sizes, number_rows
 from tradeloom.operators.sink import (
     merge_into,
     prune_snapshots,
@@ -41,6 +41,9 @@ from tradeloom.sources import RawSource, stamp
 from tradeloom.sources.raw import OFFSET, SOURCE_NO, tagged_scan
 
 _FX_DAY = "_fx_date"
+# Rows of one task before a window.
+_TASK_ROWS = 200_000
+_MOST_TASKS = 20_000
 _DAY_KEY = re.compile(r"day\((\w+)\)")
 
 
@@ -207,9 +210,10 @@ def _distinct_rows(rows: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
     seq = feed.sequence
     if seq and seq.before_last:
         group = _group(seq.keys, seq.per_source)
-        hot = has_hot_group(rows, group, cfg.hot_rows)
+        largest, total = group_sizes(rows, group)
+        hot = largest > cfg.hot_rows
         if not hot and all(set(seq.keys) <= set(s.keys) for s in feed.latest):
-            rows = rows.repartition(*group)
+            rows = _in_tasks(rows, total, group)
         rows = _deduplicate(rows, feed, hot, feed.latest[:-1])
         return _deduplicate(_number(rows, feed, cfg, hot), feed, hot, feed.latest[-1:])
     if feed.latest[-1].ties == "one":
@@ -218,13 +222,24 @@ def _distinct_rows(rows: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
         return _number(result, feed, cfg, hot=False) if seq else result
     per_source = seq is None or seq.per_source
     group = _group(seq.keys if seq else feed.latest[-1].keys, per_source)
-    hot = has_hot_group(rows, group, cfg.hot_rows)
-    if seq and not hot:
-        rows = rows.repartition(*group)
+    largest, total = group_sizes(rows, group)
+    hot = largest > cfg.hot_rows
+    if not hot:
+        rows = _in_tasks(rows, total, group)
     result = _deduplicate(rows, feed, hot)
     return _number(result, feed, cfg, hot) if seq else result
 
 
+def _in_tasks(rows: DataFrame, total: int, group: Sequence[Column]) -> DataFrame:
+    """Rows shuffled by group into tasks whose size does not grow with the table.
+
+    Left to adaptive execution, tasks are sized by compressed bytes, and a
+    window over the scan's tasks sorts whole files before the shuffle.
+    """
+    least = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(min(max(total // _TASK_ROWS + 1, least), _MOST_TASKS), *group)
+
+
 def build(
     spark: SparkSession,
     feed: Feed,
