@@ -27,6 +27,14 @@ def source(spark, item, rows):
 ROWS = [(str(i % 7), T0 + i, i) for i in range(40)]
 
 
+def test_rows_are_dealt_before_they_are_unnested_and_sorted(spark, monkeypatch):
+    monkeypatch.setattr(runner, "_TASK_RAW_ROWS", 10, raising=False)
+    item = feed("CatalogItems")
+    df = build(spark, item, source(spark, item, ROWS), Config())
+    assert "RoundRobinPartitioning(5)" in plan_of(df)
+    assert sorted(r._batch_id for r in df.collect()) == list(range(33, 40))
+
+
 def test_a_window_has_as_many_tasks_as_its_rows_need(spark, monkeypatch):
     monkeypatch.setattr(runner, "_TASK_ROWS", 1, raising=False)
     item = feed("AllListingsReport")

@@ -41,8 +41,9 @@ from tradeloom.sources import RawSource, stamp
 from tradeloom.sources.raw import OFFSET, SOURCE_NO, tagged_scan
 
 _FX_DAY = "_fx_date"
-# Rows of one task before a window.
+# Rows of one task before a window, and raw rows of one task that un-nests them before a window.
 _TASK_ROWS = 200_000
+_TASK_RAW_ROWS = 20_000
 _MOST_TASKS = 20_000
 _DAY_KEY = re.compile(r"day\((\w+)\)")
 
@@ -262,6 +263,10 @@ def build(
         raw, unnested = tagged_scan(spark, sources, schema, cfg, feed.tz_aware, loaded, prefix), 0
     else:
         raw, unnested = shared.of(feed, loaded)
+    if feed.unnest and feed.latest[-1].ties == "one" and not _chosen_before_unnest(feed):
+        # All rows are sorted where they are un-nested: a small file can hold very many.
+        tasks = min(raw.count() // _TASK_RAW_ROWS + 1, _MOST_TASKS)
+        raw = raw.repartition(tasks) if tasks > 1 else raw
     rows = project(raw, feed, cfg, unnested)
     result = _distinct_rows(rows, feed, cfg)
     if feed.fx:
