@@ -51,3 +51,19 @@ def test_several_rates_for_one_key_are_refused(rates):
         Rates.measure(rates.unionByName(rates))
     other = rates.withColumn("from_currency_code", F.lit("CHF"))
     assert Rates.measure(rates.unionByName(other), from_currency="CHF").frame.count() == 2
+
+
+def test_facts_stay_where_computed_rates_are_few(spark, facts):
+    spark.range(200_000).createOrReplaceTempView("numbers")
+    try:
+        rates = spark.sql(
+            "SELECT date_add(DATE'2024-01-01', CAST(id % 9 AS INT)) AS date, 'EUR' AS from_currency_code, ccy AS to_currency_code,"
+            " CAST(2 AS DECIMAL(38, 9)) AS value FROM numbers CROSS JOIN VALUES ('USD'), ('CAD') AS c(ccy)"
+            " WHERE repeat(CAST(id AS STRING), 9) <> '' GROUP BY ALL"
+        )
+        joined = with_exchange_rate(facts, Rates.measure(rates), "day", "ccy")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert joined.where("id = 1").first()["exchange_currency_rate"] == 2
+    finally:
+        spark.catalog.dropTempView("numbers")

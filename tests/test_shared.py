@@ -4,6 +4,7 @@ import datetime
 import json
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import types as T
 
 from tradeloom import Config
@@ -97,3 +98,18 @@ def test_groups_and_types():
     assert both == ddl("a array<struct<x:int,y:string,z:int>>, b int")
     with pytest.raises(ValueError, match="is read as int and as string"):
         merged_type(ddl("a int"), ddl("a string"))
+
+
+def test_branches_are_written_without_sorting_the_rows(spark, monkeypatch):
+    writers, name = [], "spark.sql.maxConcurrentOutputFileWriters"
+    real = DataFrameWriter.parquet
+
+    def parquet(self, *args, **named):
+        writers.append(spark.conf.get(name, None))
+        return real(self, *args, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    before = spark.conf.get(name, None)
+    share(spark, [FEEDS[n] for n in NAMES], raw(spark, [1]), Config())
+    assert writers == ["3"]  # one file for each of the three arrays the feeds begin with
+    assert spark.conf.get(name, None) == before
