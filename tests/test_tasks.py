@@ -43,3 +43,22 @@ def test_a_window_has_as_many_tasks_as_its_rows_need(spark, monkeypatch):
     assert "41), REPARTITION_BY_NUM" in plan
     assert plan.index("WindowGroupLimit") < plan.index("REPARTITION_BY_NUM")  # sorted after the shuffle only
     assert sorted(r._batch_id for r in df.collect()) == list(range(33, 40))
+
+
+def test_nested_values_are_decoded_once(spark):
+    item, decoded = feed("ListFinancialEventsRefundTaxes"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def landed(i):
+        decoded.add(1)
+        return '[{"PostedDate": "2024-01-01T10:00:00Z", "AmazonOrderId": "o%d", "ShipmentItemAdjustmentList": [{}, {}]}]' % i
+
+    frame = spark.range(6).select(
+        landed.asNondeterministic()("id").alias("RefundEventlist"),
+        F.lit(1).cast("bigint").alias("_user_id"),
+        F.lit(T0).cast("bigint").alias("_batch_runtime"),
+        F.col("id").alias("_batch_id"),
+    )
+    df = build(spark, item, [RawSource("c.s.A_US_x", frame=frame)], Config())
+    assert sorted(r._seq_id for r in df.collect()) == [1] * 6 + [2] * 6
+    assert decoded.value == 6  # not again for the largest group
