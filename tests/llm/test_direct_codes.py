@@ -91,3 +91,16 @@ def test_edge_rows(spark, library):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert tokens_on_disk(docs, PATH).count() == 0
+
+
+def test_the_first_word_of_a_text_is_remembered_within_bounds(monkeypatch):
+    own = Encoder(public_tokenizers.path("byte_bpe_50k.json"), max_known=2)
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["The cat sat", "The dog sat", "A cat", "One cat", f"{'x' * 90} cat", "The cat"]
+    alone = []
+    real = own.whole
+    monkeypatch.setattr(own, "whole", lambda text: alone.append(text) or real(text))
+    for text in texts:
+        (found,) = own.encode([text])
+        assert found.tolist() == lib.encode(text, add_special_tokens=False).ids
+    assert alone.count("The") == 2 and len(own.firsts) <= 2  # forgotten once, when there were too many

@@ -16,6 +16,7 @@ import numpy as np
 
 MAX_KNOWN = 1_000_000
 _LEARN_WORDS = 2000  # encoded in one string
+_FIRST_CHARS = 64  # longer first words are not remembered
 _MARKS = ".,;:!?"
 _LATIN_END = "\u0250"  # letters and digits below are old enough for every library
 # A space between other white space; two spaces and those at an end count as well.
@@ -57,6 +58,7 @@ class Encoder:
         )
         self.max_known = max_known
         self.known: dict[str, bytes] = {}
+        self.firsts: dict[str, np.ndarray] = {}  # words that begin a text have no space before them
         self.marks: dict[str, bytes] = {}
         self.edged: dict[str, bytes] = {}
         if self.by_word:
@@ -69,6 +71,16 @@ class Encoder:
         (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, dtype=np.uint32)
 
+    def _first(self, word: str) -> np.ndarray:
+        found = self.firsts.get(word)
+        if found is None:
+            found = self.whole(word)
+            if len(word) <= _FIRST_CHARS:
+                if len(self.firsts) >= self.max_known:
+                    self.firsts = {}
+                self.firsts[word] = found
+        return found
+
     def _words(self, text: str) -> list[str] | None:
         if not self.by_word or "  " in text or text[:1] == " " or text[-1:] == " ":
             return None
@@ -143,7 +155,7 @@ class Encoder:
                 i if i is not None else known[w] if w in known else edged[w]
                 for w, i in zip(words[1:], rest, strict=True)
             ]
-        return np.concatenate([self.whole(words[0]), np.frombuffer(b"".join(rest), dtype=np.uint32)])
+        return np.concatenate([self._first(words[0]), np.frombuffer(b"".join(rest), dtype=np.uint32)])
 
 
 _ENCODERS: dict[str, Encoder] = {}
