@@ -58,7 +58,7 @@ class Encoder:
         )
         self.max_known = max_known
         self.known: dict[str, bytes] = {}
-        self.firsts: dict[str, np.ndarray] = {}  # words that begin a text have no space before them
+        self.firsts: dict[str, bytes] = {}  # words that begin a text have no space before them
         self.marks: dict[str, bytes] = {}
         self.edged: dict[str, bytes] = {}
         if self.by_word:
@@ -71,10 +71,10 @@ class Encoder:
         (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, dtype=np.uint32)
 
-    def _first(self, word: str) -> np.ndarray:
+    def _first(self, word: str) -> bytes:
         found = self.firsts.get(word)
         if found is None:
-            found = self.whole(word)
+            found = self.whole(word).tobytes()
             if len(word) <= _FIRST_CHARS:
                 if len(self.firsts) >= self.max_known:
                     self.firsts = {}
@@ -148,14 +148,13 @@ class Encoder:
     def _joined(self, text: str, words: list[str] | None, found: list[bytes | None] | None) -> np.ndarray:
         if words is None:
             return self.whole(text)
-        rest = found[1:]
-        if None in rest:
+        found[0] = self._first(words[0])
+        if None in found:
             known, edged = self.known, self.edged
-            rest = [
-                i if i is not None else known[w] if w in known else edged[w]
-                for w, i in zip(words[1:], rest, strict=True)
+            found = [
+                i if i is not None else known[w] if w in known else edged[w] for w, i in zip(words, found, strict=True)
             ]
-        return np.concatenate([self._first(words[0]), np.frombuffer(b"".join(rest), dtype=np.uint32)])
+        return np.frombuffer(b"".join(found), dtype=np.uint32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
