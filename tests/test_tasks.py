@@ -100,6 +100,17 @@ def test_rows_of_a_large_key_are_chosen_apart(spark):
         )
 
 
+def test_returns_are_not_sorted_before_they_move(spark, monkeypatch):
+    monkeypatch.setattr(runner, "_TASK_ROWS", 1)
+    item = feed("FlatFileReturnsReportByReturnDate")
+    df = build(spark, item, keyed(spark, item, ROWS, {"Order_ID": F.col("k")}), Config())
+    plan = plan_of(df)
+    assert plan.rindex("WindowGroupLimit") < plan.index("41), REPARTITION_BY_NUM")
+    assert sorted(r._batch_id for r in df.collect()) == list(range(33, 40))
+    hot = build(spark, item, keyed(spark, item, ROWS, {"Order_ID": F.col("k")}), Config(hot_rows=1))
+    assert sorted(r._batch_id for r in hot.collect()) == list(range(33, 40))
+
+
 def test_orders_move_once_for_both_windows(spark):
     item = feed("ListOrder")
     day = F.expr("timestamp_ntz '2024-01-01 10:00:00' + make_interval(0, 0, 0, int(k))")

@@ -241,6 +241,8 @@ def _distinct_rows(rows: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
         return _deduplicate(_number(rows, feed, cfg, hot), feed, hot, feed.latest[-1:])
     if feed.latest[-1].ties == "one":
         # One row per key is left; a numbered group holds one per marketplace.
+        if not feed.unnest:
+            rows = _bounded(rows, feed, cfg)
         result = _deduplicate(rows, feed, hot=False)
         return _number(result, feed, cfg, hot=False) if seq else result
     per_source = seq is None or seq.per_source
@@ -253,6 +255,24 @@ def _distinct_rows(rows: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
     return _number(result, feed, cfg, hot) if seq else result
 
 
+def _bounded(rows: DataFrame, feed: Feed, cfg: Config) -> DataFrame:
+    """Rows in bounded tasks for a feed that keeps one row per key.
+
+    As long as no key is too large for a task; else the window thins the rows
+    out in the scan's tasks.
+    """
+    seq = feed.sequence
+    steps = _final_stage(feed)
+    keys = steps[-1].keys
+    if seq and seq.per_source and set(seq.keys) <= set(keys):
+        keys = seq.keys
+    if not all(set(keys) <= set(s.keys) for s in steps):
+        return rows
+    group = _group(keys, True)
+    largest, total = group_sizes(rows, group, cfg.hot_rows)
+    return rows if largest > cfg.hot_rows else _in_tasks(rows, total, group)
+
+
 def _in_tasks(rows: DataFrame, total: int, group: Sequence[Column]) -> DataFrame:
     """Rows shuffled by group into tasks whose size does not grow with the table.
 
