@@ -5,12 +5,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tradeloom.llm.common import text_slices
 from tradeloom.llm.direct_codes import CodeFile, tokens_on_disk, write_codes
 from tradeloom.llm.queries import QUERIES
 from tradeloom.llm.vocabulary import Encoder
@@ -104,3 +106,24 @@ def test_the_first_word_of_a_text_is_remembered_within_bounds(monkeypatch):
         (found,) = own.encode([text])
         assert found.tolist() == lib.encode(text, add_special_tokens=False).ids
     assert alone.count("The") == 2 and len(own.firsts) <= 2  # forgotten once, when there were too many
+
+
+def test_words_met_again_stay_when_others_are_forgotten(monkeypatch):
+    own = Encoder(PATH, max_known=8)
+    lib = Tokenizer.from_file(PATH)
+    learnt = []
+    real = own._learn
+    monkeypatch.setattr(own, "_learn", lambda words: learnt.extend(words) or real(words))
+    for i in range(30):
+        text = f"a cat{i}" if i % 2 else f"a often cat{i}"
+        assert own.encode([text])[0].tolist() == lib.encode(text, add_special_tokens=False).ids
+        assert len(own.known) + len(own.older) <= 8
+    assert learnt.count("often") == 1
+
+
+def test_texts_are_sliced_by_the_bytes_asked_for():
+    texts = ["w" * 300, None, "", "é" * 200, "x" * 2000, "y"]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(6)), "text": pa.array(texts, pa.string())})
+    slices = [s.to_pydict() for s in text_slices([batch], "text", 750)]
+    assert [len(s["id"]) for s in slices] == [4, 1, 1]
+    assert [t for s in slices for t in s["text"]] == texts

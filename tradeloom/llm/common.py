@@ -101,13 +101,15 @@ def release_memory() -> None:
         trim(0)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str | int) -> Iterator[pa.RecordBatch]:
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str | int, most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a bounded number of bytes; a longer text is one slice."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for at, size in enumerate(sizes):
-            if at > start and total + size > SLICE_BYTES:
+            if at > start and total + size > most:
                 yield batch.slice(start, at - start)
                 start, total = at, 0
             total += size

@@ -33,14 +33,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import id_and_text, new_folder, one_task_each, open_for_reading, open_for_writing, stage, text_key
+from tradeloom.llm.common import (
+    id_and_text,
+    new_folder,
+    one_task_each,
+    open_for_reading,
+    open_for_writing,
+    release_memory,
+    stage,
+    text_key,
+    text_slices,
+)
 from tradeloom.llm.vocabulary import encoder
 
 MAGIC = b"TLDAC001"
 END_ID = 0
 BLOCK = 512
 FILE_TOKENS = 2_000_000
-BATCH_CHARS = 4_000_000
+ENCODED_BYTES = 1 << 20  # of texts that are encoded together
 
 
 def encode_levels(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -168,23 +178,17 @@ def write_token_files(
             seq, size = seq + 1, 0
             return pa.RecordBatch.from_pydict(row, schema=_manifest_schema())
 
-        for batch in batches:
+        for batch in text_slices(batches, "text", ENCODED_BYTES):
             keys, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
-            at = 0
-            while at < len(texts):
-                upto, chars = at, 0
-                while upto < len(texts) and (upto == at or chars + len(texts[upto]) <= BATCH_CHARS):
-                    chars += len(texts[upto])
-                    upto += 1
-                for key, found in zip(keys[at:upto], codes.encode(texts[at:upto]), strict=True):
-                    ids.append(key)
-                    tokens.append(np.concatenate([found, end]))
-                    size += len(found) + 1
-                    if size >= file_tokens:
-                        yield flush()
-                at = upto
+            for key, found in zip(keys, codes.encode(texts), strict=True):
+                ids.append(key)
+                tokens.append(np.concatenate([found, end]))
+                size += len(found) + 1
+                if size >= file_tokens:
+                    yield flush()
         if ids:
             yield flush()
+        release_memory()
 
     rows = id_and_text(docs, id_col, text_col).withColumn("key", text_key(F.col("text")))
     placed = rows.repartitionByRange("id", "key").sortWithinPartitions("id", "key").select("id", "text")

@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-MAX_KNOWN = 1_000_000
+MAX_KNOWN = 700_000
 _LEARN_WORDS = 2000  # encoded in one string
 _FIRST_CHARS = 64  # longer first words are not remembered
 _MARKS = ".,;:!?"
@@ -58,6 +58,7 @@ class Encoder:
         )
         self.max_known = max_known
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # words known before; those met again move to ``known``
         self.firsts: dict[str, bytes] = {}  # words that begin a text have no space before them
         self.marks: dict[str, bytes] = {}
         self.edged: dict[str, bytes] = {}
@@ -137,10 +138,12 @@ class Encoder:
                 split[i] = None
             else:
                 new.update(missing)
-        if len(self.known) + len(new) > self.max_known:
-            # what these texts share with earlier ones stays
-            words = set().union(*(s for s in split if s))
-            self.known = {w: self.known[w] for w in words.difference(new)}
+        again = {w: self.older[w] for w in new if w in self.older}
+        if 2 * (len(self.known) + len(new)) > self.max_known:
+            # words that come again soon are taken back, the others go at the next turn
+            self.known, self.older = {}, self.known
+        self.known |= again
+        new.difference_update(again)
         if new:
             self._learn(new)
         return [self._joined(*x) for x in zip(texts, split, found, strict=True)]
