@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom import Config
+from tradeloom.demo import raw
 from tradeloom.operators.sequence import group_sizes
 from tradeloom.plans import build, feed, runner
 from tradeloom.sources import RawSource
@@ -126,3 +127,20 @@ def test_the_largest_group_is_bounded_by_cells(spark):
     assert 15 <= largest <= 100 and total == 100
     assert group_sizes(rows, ["k"], 14) == (15, 100)  # too large a cell: the keys are counted
     assert group_sizes(rows.where("false"), ["k"], 5) == (0, 0)
+
+
+def test_elements_of_an_array_are_looked_up(spark):
+    rows = spark.createDataFrame([(0,), (1,), (2,), (3,), (4,), (-1,), (None,)], "k long")
+    made = rows.select(raw._array(F.col("k"), {0: None, 1: 0, 2: 2, 3: 1, 4: 3}, lambda e: e + 5).alias("x"))
+    assert [r.x for r in made.collect()] == [None, [], [5, 6], [5], [5, 6, 7], None, None]
+    paid = rows.select(raw._money(F.col("k") > 2, F.lit("USD"), F.col("k"), "Amount").alias("x"))
+    assert [r.x and r.x[0].asDict() for r in paid.collect() if r.x] == [{"CurrencyCode": "USD", "Amount": a} for a in "34"]
+    assert "slice(" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_columns_of_one_table_are_made_before_the_join(spark):
+    events = raw._raw_events(spark, "/root/testdata/sf0.001", feed("ListFinancialEventsOrderTaxes"))
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan.rindex("Join LeftOuter")
+    for made in ("% 11)", "INTERVAL '01' HOUR"):
+        assert plan.index(made) > joined

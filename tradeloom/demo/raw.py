@@ -331,13 +331,14 @@ def _fill(df: DataFrame, schema: T.StructType, marks: Iterable[str] = ()) -> Dat
 
 
 def _array(key: Column, counts: dict[int, int | None], make) -> Column:
-    """Array whose length follows ``key``; ``make`` builds element number ``e``."""
-    size = F.lit(None).cast("int")
-    for k, n in counts.items():
-        if n is not None:
-            size = F.when(key == k, n).otherwise(size)
+    """Array whose length follows ``key``; ``make`` builds element number ``e``.
+
+    The numbers of the elements are constant arrays that a row only looks up.
+    """
     numbers = F.array(*[F.lit(i) for i in range(max(n or 0 for n in counts.values()))])
-    return F.transform(F.slice(numbers, F.lit(1), size), make)
+    sizes = [counts.get(k) for k in range(max(counts) + 1)]
+    shares = F.array(*[F.slice(numbers, F.lit(1), F.lit(n).cast("int")) for n in sizes])
+    return F.transform(F.get(shares, key.cast("int")), make)
 
 
 def _str(col: Column) -> Column:
@@ -345,15 +346,13 @@ def _str(col: Column) -> Column:
 
 
 def _zulu(col: Column) -> Column:
-    return F.concat(F.translate(_str(col), " ", "T"), F.lit("Z"))
+    return F.concat(F.replace(_str(col), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def _money(present: Column, code: Column, amount: Column, amount_name: str) -> Column:
-    size = F.when(present, 1).otherwise(0)
-    return F.transform(
-        F.slice(F.array(F.lit(0)), F.lit(1), size),
-        lambda _: F.struct(code.alias("CurrencyCode"), _str(amount).alias(amount_name)),
-    )
+    money = F.array(F.struct(code.alias("CurrencyCode"), _str(amount).alias(amount_name)))
+    none = F.array().cast(f"array<struct<CurrencyCode:string,{amount_name}:string>>")
+    return F.when(present, money).otherwise(none)
 
 
 def _raw_events(spark: SparkSession, sf_dir: str, *feeds: Feed, landed=None) -> DataFrame:
@@ -361,15 +360,17 @@ def _raw_events(spark: SparkSession, sf_dir: str, *feeds: Feed, landed=None) ->
 
     ``landed`` makes of an array what the raw table stores, once for all batches.
     """
-    base = run_sql(
+    c = F.col
+    # What an order or a line gives alone is made before the join, once and not for every element.
+    orders = run_sql(
         spark,
         sf_dir,
-        f"SELECT *, {CURRENCY} AS ccy, {holes(text('o_orderkey'), 'o_orderkey', 50)} AS oid,"
-        " o_orderdate + CAST(o_orderkey % 24 AS INT) * INTERVAL '1' HOUR AS posted,"
-        " CAST(l_quantity AS BIGINT) AS qty"
-        " FROM {orders} LEFT JOIN {lineitem} ON l_orderkey = o_orderkey",
-    )
-    c = F.col
+        f"SELECT o_orderkey, o_custkey, {holes(text('o_orderkey'), 'o_orderkey', 50)} AS oid,"
+        " o_orderdate + CAST(o_orderkey % 24 AS INT) * INTERVAL '1' HOUR AS posted FROM {orders}",
+    ).withColumn("posted", _zulu(c("posted")))
+    lines = run_sql(spark, sf_dir, f"SELECT *, {CURRENCY} AS ccy FROM {{lineitem}}")
+    base = orders.join(lines, c("l_orderkey") == c("o_orderkey"), "left")
+    base = base.withColumn("qty", c("l_quantity").cast("bigint"))
 
     def entries(item: Feed) -> Column:
         # The last three of the un-nest chain: entry, amount and what is above.
@@ -406,7 +407,7 @@ def _raw_events(spark: SparkSession, sf_dir: str, *feeds: Feed, landed=None) ->
             )
 
         return F.struct(
-            _zulu(c("posted")).alias("PostedDate"),
+            c("posted").alias("PostedDate"),
             c("oid").alias("AmazonOrderId"),
             F.concat(F.lit("M"), _str(c("o_custkey") % 3)).alias("MarketplaceName"),
             _array(c("l_linenumber") % 4, _ITEMS, line_item).alias(members[0].unnest[1].split(".")[1]),
