@@ -2,15 +2,20 @@
 
 import datetime
 import json
+import os
+import time
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import types as T
 
 from tradeloom import Config
+from tradeloom.demo import feed_queries
 from tradeloom.operators import read_target
 from tradeloom.plans import FEEDS, run_all, runner, shared
 from tradeloom.plans.shared import merged_type, share, sharing
+from tradeloom.session import shared_dir, stage, staged_tables
 from tradeloom.sources import RawSource
 
 T0 = 1_700_000_000_000
@@ -113,3 +118,37 @@ def test_branches_are_written_without_sorting_the_rows(spark, monkeypatch):
     share(spark, [FEEDS[n] for n in NAMES], raw(spark, [1]), Config())
     assert writers == ["3"]  # one file for each of the three arrays the feeds begin with
     assert spark.conf.get(name, None) == before
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+
+def test_shuffle_files_end_with_their_query(spark, rows):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(name, None)
+    data = spark.createDataFrame([(i % 7 or None, i) for i in range(50)], "k int, v int").repartition(4, "k")
+    with staged_tables(spark):
+        gone = stage(data, "gone")
+        kept = stage(gone.groupBy("k").agg({"v": "sum"}).toDF("k", "n"), "kept", keep=True, codec="zstd")
+        for _ in range(100):  # files are removed in the background
+            left = shuffle_files(spark) - before
+            if not left:
+                break
+            time.sleep(0.1)
+        assert not left
+        folder = urlparse(gone.inputFiles()[0]).path.rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder) and spark.conf.get(name, None) == setting
+    assert rows(kept) == [(None, 196)] + [(k, sum(i for i in range(50) if i % 7 == k)) for k in range(1, 7)]
+
+
+def test_shared_feeds_are_written_one_after_the_other(spark):
+    before = set(os.listdir(shared_dir(spark)))
+    found = feed_queries.shared_feeds(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == len(feed_queries.EVENT_FEEDS)
+    left = {n.split("-")[0] for n in set(os.listdir(shared_dir(spark))) - before}
+    assert left == set(feed_queries.EVENT_FEEDS)  # raw rows and rates are gone
+    assert {r.feed for r in found.select("feed").distinct().collect()} == set(feed_queries.EVENT_FEEDS)
